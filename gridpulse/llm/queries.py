@@ -68,16 +68,16 @@ def _op1_sql(p: quality.Params = quality.Params()) -> str:
     r = p.risk / n
     return f"""WITH {_op1_measures()},
 vals AS ({values}),
-grid(at, cutoff) AS (VALUES {cutoffs}),
+grid(pos, cutoff) AS (VALUES {cutoffs}),
 known AS (SELECT doc_id, min(quality) > 0 AS good, {_unit("'half'", "doc_id")} < 0.5 AS tune FROM labels WHERE quality IS NOT NULL GROUP BY doc_id),
-counts AS (SELECT stratum, signal, at, cutoff, count(*) FILTER (v > cutoff AND good AND tune) AS tg, count(*) FILTER (v > cutoff AND NOT good AND tune) AS tb,
+counts AS (SELECT stratum, signal, pos, cutoff, count(*) FILTER (v > cutoff AND good AND tune) AS tg, count(*) FILTER (v > cutoff AND NOT good AND tune) AS tb,
   count(*) FILTER (v > cutoff AND good AND NOT tune) AS k, count(*) FILTER (good AND NOT tune) AS n
   FROM vals JOIN known USING (doc_id) CROSS JOIN grid GROUP BY ALL),
 tails AS (SELECT *, tb - {p.weight} * tg AS gain, CASE WHEN k > n * {r} THEN 1.0 ELSE list_sum(list_transform(range(0, k + 1),
   i -> exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({r}) + (n - i) * ln(1 - {r})))) END AS p FROM counts),
-best AS (SELECT stratum, signal, arg_max(at, gain * 100 - at) AS wanted, max(gain) AS most,
-  coalesce(min(at) FILTER (p > {p.delta} / {n} / (SELECT count(DISTINCT stratum) FROM counts)), {len(p.cutoffs)}) AS stopped FROM tails GROUP BY ALL),
-rules AS (SELECT stratum, signal, cutoff AS most FROM best JOIN grid ON at = least(wanted, stopped - 1) WHERE best.most > 0),
+best AS (SELECT stratum, signal, arg_max(pos, gain * 100 - pos) AS wanted, max(gain) AS most,
+  coalesce(min(pos) FILTER (p > {p.delta} / {n} / (SELECT count(DISTINCT stratum) FROM counts)), {len(p.cutoffs)}) AS stopped FROM tails GROUP BY ALL),
+rules AS (SELECT stratum, signal, cutoff AS most FROM best JOIN grid ON pos = least(wanted, stopped - 1) WHERE best.most > 0),
 bad AS (SELECT DISTINCT rid FROM vals JOIN rules USING (stratum, signal) WHERE v > rules.most)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND rid NOT IN (SELECT rid FROM bad) AS kept FROM rated"""
