@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, quality
+from . import mixing, pieces, quality
 from .common import table
 
 
@@ -22,11 +22,23 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan(table(spark, sf_dir, "documents"))
 
 
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = pieces.encode(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    ids = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return coded.select(
+        "doc_id", "n_tokens", F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_quality_rules,
         op2_mixing,
+        op10_sentencepiece,
     )
 }
 
@@ -41,14 +53,14 @@ def _op1_measures() -> str:
     word = r"'[^\x20\x09-\x0D]+'"
     return f"""
 d AS (SELECT row_number() OVER () AS rid, doc_id, lang, coalesce(text, '') AS t FROM documents),
-w AS (SELECT *, regexp_extract_all(t, {word}) AS w, list_filter(string_split(t, chr(10)), x -> regexp_matches(x, {word})) AS l FROM d),
+w AS (SELECT *, regexp_extract_all(t, {word}) AS w, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, {word})) AS l FROM d),
 five AS (SELECT rid, i, list_aggregate(list_slice(w, i, i + 4), 'string_agg', ' ') AS s
   FROM (SELECT rid, w, unnest(range(1, len(w) - 3)) AS i FROM w WHERE len(w) >= 5)),
 twice AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, s) AS n FROM five) WHERE n > 1),
 spans AS (SELECT rid, sum(least(5, coalesce(lead_i - i, 5))) AS n FROM
   (SELECT rid, i, lead(i) OVER (PARTITION BY rid ORDER BY i) AS lead_i FROM twice) GROUP BY rid),
 m AS (SELECT rid, doc_id, coalesce('=' || lang, '(null)') AS stratum, len(w)::BIGINT AS n_words,
-  list_sum(list_transform(w, x -> length(x)))::BIGINT AS c,
+  list_sum(list_transform(w, lambda x: length(x)))::BIGINT AS c,
   length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
   length(regexp_replace(t, '[^!A-Z]', '', 'g'))::BIGINT AS n_shouts,
   len(l)::BIGINT AS n_lines, (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(s.n, 0)::BIGINT AS n_repeat_words
@@ -74,7 +86,7 @@ counts AS (SELECT stratum, signal, pos, cutoff, count(*) FILTER (v > cutoff AND
   count(*) FILTER (v > cutoff AND good AND NOT tune) AS k, count(*) FILTER (good AND NOT tune) AS n
   FROM vals JOIN known USING (doc_id) CROSS JOIN grid GROUP BY ALL),
 tails AS (SELECT *, tb - {p.weight} * tg AS gain, CASE WHEN k > n * {r} THEN 1.0 ELSE list_sum(list_transform(range(0, k + 1),
-  i -> exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({r}) + (n - i) * ln(1 - {r})))) END AS p FROM counts),
+  lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({r}) + (n - i) * ln(1 - {r})))) END AS p FROM counts),
 best AS (SELECT stratum, signal, arg_max(pos, gain * 100 - pos) AS wanted, max(gain) AS most,
   coalesce(min(pos) FILTER (p > {p.delta} / {n} / (SELECT count(DISTINCT stratum) FROM counts)), {len(p.cutoffs)}) AS stopped FROM tails GROUP BY ALL),
 rules AS (SELECT stratum, signal, cutoff AS most FROM best JOIN grid ON pos = least(wanted, stopped - 1) WHERE best.most > 0),
