@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, pieces, quality, simhash
+from . import linededup, mixing, pieces, quality, simhash
 from .common import table
 
 
@@ -27,6 +27,19 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each line of a group of two places or more: its place, the place of the line that stays, and
+    whether it is that one."""
+    found = linededup.groups(table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("doc.doc_id"),
+        F.col("n").cast("long").alias("line"),
+        F.col("first.doc.doc_id").alias("kept_doc_id"),
+        F.col("first.n").cast("long").alias("kept_line"),
+        (F.struct("doc", "n") == F.col("first")).alias("kept"),
+    )
+
+
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -44,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_quality_rules,
         op2_mixing,
         op8_simhash,
+        op9_line_dedup,
         op10_sentencepiece,
     )
 }
