@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import linededup, mixing, pieces, quality, simhash
+from . import linededup, mixing, pieces, quality, sharding, simhash
 from .common import table
 
 
@@ -22,6 +22,19 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan(table(spark, sf_dir, "documents"))
 
 
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.assign(table(spark, sf_dir, "documents"))
+    return placed.select(
+        "doc_id",
+        "size",
+        F.col("crc").alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, radius=4)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -56,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_quality_rules,
         op2_mixing,
+        op4_sharding,
         op8_simhash,
         op9_line_dedup,
         op10_sentencepiece,
