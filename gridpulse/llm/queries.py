@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import linededup, mixing, pieces, quality, sharding, simhash
+from . import linededup, maintext, mixing, mtree, pieces, quality, sharding, simhash
 from .common import table
 
 
@@ -35,6 +35,15 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maintext.extract(table(spark, sf_dir, "pages"))
+
+
+def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", mtree.quantised(F.col("embedding")).alias("v"))
+    return mtree.top_k(vectors, F.col("vec_id") % 100 == 0, k=10)
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, radius=4)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -70,6 +79,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_quality_rules,
         op2_mixing,
         op4_sharding,
+        op6_html_extraction,
+        op7_top_k,
         op8_simhash,
         op9_line_dedup,
         op10_sentencepiece,
@@ -146,7 +157,21 @@ SELECT doc_id, size, source_size, target,
   (size * (floor(rate) + CASE WHEN {_unit("'0'", "coalesce(doc_id::VARCHAR, 'null')")} < rate - floor(rate) THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source"""
 
+_OP6_SQL = r"""WITH a AS (SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*)</article>', 1) AS t FROM pages),
+plain AS (SELECT page_id, url, regexp_replace(t, '<[^>]*>', ' ', 'g') AS t FROM a),
+one AS (SELECT page_id, url, regexp_replace(regexp_replace(regexp_replace(t, '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&quot;?', '"', 'g') AS t FROM plain),
+text AS (SELECT page_id, url, trim(regexp_replace(regexp_replace(t, '&amp;?', '&', 'g'), '\s+', ' ', 'g')) AS text FROM one)
+SELECT page_id, url, text, length(text)::BIGINT AS n_chars FROM text"""
+
+_OP7_SQL = """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, v.vec_id, list_dot_product(q.e, v.e)::BIGINT AS score FROM v q, v WHERE q.vec_id % 100 = 0 AND q.vec_id <> v.vec_id)
+SELECT query_id, rank::INT AS rank, vec_id, score FROM
+  (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 10"""
+
 ORACLES: dict[str, str] = {
     "op1_quality_rules": _op1_sql(),
     "op2_mixing": _OP2_SQL,
+    "op6_html_extraction": _OP6_SQL,
+    "op7_top_k": _OP7_SQL,
 }
