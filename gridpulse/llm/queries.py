@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import linededup, maintext, mixing, mtree, pieces, quality, sharding, simhash
+from . import linededup, maintext, mixing, mtree, pieces, quality, secrets, sharding, simhash, urlfilter
 from .common import table
 
 
@@ -22,6 +22,10 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan(table(spark, sf_dir, "documents"))
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.assign(table(spark, sf_dir, "documents"))
     return placed.select(
@@ -35,6 +39,49 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _number(x: Column) -> Column:
+    return F.conv(F.substring(F.md5(x.cast("string")), 1, 8), 16, 10).cast("long")
+
+
+def _captures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages with a fetch time. The tables have none, so it follows from the page's id: a second of 2024."""
+    second = F.lit(1704067200) + _number(F.col("page_id")) % (366 * 86400)
+    return table(spark, sf_dir, "pages").select("page_id", "url", F.timestamp_seconds(second).alias("fetched"))
+
+
+def _list_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dated entries on hosts, domains and paths that occur in the pages, chosen by hash: added on some day,
+    often removed later, sometimes added again."""
+    url = F.col("url")
+    host, path = urlfilter.host_of(url), F.split_part(urlfilter.path_of(url), F.lit("/"), F.lit(1))
+    labels = F.split(host, r"\.")
+    domain = F.array_join(F.slice(labels, F.greatest(F.size(labels) - 2, F.lit(1)), 3), ".")
+    pages = table(spark, sf_dir, "pages").select(
+        F.explode(
+            F.array(
+                F.struct(F.lit("hosts").alias("list"), host.alias("pattern")),
+                F.struct(F.lit("domains").alias("list"), domain.alias("pattern")),
+                F.struct(F.lit("paths").alias("list"), F.concat(host, F.lit("/"), path).alias("pattern")),
+            )
+        ).alias("e")
+    )
+    n = _number(F.concat_ws(" ", "list", "pattern"))
+    day = lambda k: F.timestamp_seconds(F.lit(1704067200) + (n % 200 + k) * 86400)
+    step = lambda action, k: F.struct(F.lit(action).alias("action"), day(k).alias("date"))
+    steps = (
+        F.when(n % 4 == 0, F.array(step("add", 0)))
+        .when(n % 4 == 1, F.array(step("add", 0), step("remove", 60)))
+        .otherwise(F.array(step("add", 0), step("remove", 30), step("add", 90)))
+    )
+    chosen = pages.select("e.*").where("pattern is not null").distinct().where(n % 5 == 0)
+    return chosen.withColumn("s", F.explode(steps)).select("list", "pattern", "s.action", "s.date")
+
+
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    checked = urlfilter.check(_captures(spark, sf_dir), _list_entries(spark, sf_dir))
+    return checked.withColumn("lists", F.array_join("lists", ","))
+
+
 def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maintext.extract(table(spark, sf_dir, "pages"))
 
@@ -78,7 +125,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_quality_rules,
         op2_mixing,
+        op3_secret_scan,
         op4_sharding,
+        op5_url_filter,
         op6_html_extraction,
         op7_top_k,
         op8_simhash,
@@ -157,6 +206,21 @@ SELECT doc_id, size, source_size, target,
   (size * (floor(rate) + CASE WHEN {_unit("'0'", "coalesce(doc_id::VARCHAR, 'null')")} < rate - floor(rate) THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source"""
 
+_OP5_SQL = r"""WITH u AS (SELECT page_id, url, make_timestamp((1704067200 + ('0x' || substr(md5(page_id::VARCHAR), 1, 8))::BIGINT % (366 * 86400)) * 1000000) AS fetched,
+  lower(regexp_extract(url, '^\s*[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1)) AS host,
+  regexp_extract(url, '^\s*[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]+/([^?#]*)', 1) AS path FROM pages),
+p AS (SELECT *, split_part(path, '/', 1) AS first, string_split(host, '.') AS l FROM u),
+c AS (SELECT DISTINCT * FROM (SELECT 'hosts' AS list, host AS pattern FROM p UNION ALL
+  SELECT 'domains', array_to_string(list_slice(l, greatest(len(l) - 2, 1), greatest(len(l) - 2, 1) + 2), '.') FROM p UNION ALL
+  SELECT 'paths', host || '/' || first FROM p) WHERE pattern IS NOT NULL),
+n AS (SELECT *, ('0x' || substr(md5(list || ' ' || pattern), 1, 8))::BIGINT AS n FROM c),
+i AS (SELECT list, rtrim(pattern, '/') AS pattern, n, unnest(CASE n % 4 WHEN 0 THEN [[0, 100000]] WHEN 1 THEN [[0, 60]] ELSE [[0, 30], [90, 100000]] END) AS s FROM n WHERE n % 5 = 0),
+spans AS (SELECT list, pattern, TIMESTAMP '2024-01-01' + to_days((n % 200 + s[1])::INT) AS since, TIMESTAMP '2024-01-01' + to_days((n % 200 + s[2])::INT) AS until FROM i),
+hosts AS (SELECT page_id, url, fetched, path, first, unnest(list_transform(range(1, greatest(len(l), 2)), lambda k: array_to_string(list_slice(l, k, len(l)), '.'))) AS h FROM p),
+asked AS (SELECT page_id, url, fetched, h AS pattern FROM hosts UNION SELECT page_id, url, fetched, h || '/' || first FROM hosts WHERE first <> ''),
+hits AS (SELECT page_id, url, fetched, string_agg(DISTINCT list, ',' ORDER BY list) AS lists FROM asked JOIN spans USING (pattern) WHERE fetched >= since AND fetched < until GROUP BY ALL)
+SELECT p.page_id, p.url, p.fetched, coalesce(lists, '') AS lists, lists IS NOT NULL AS blocked FROM p LEFT JOIN hits USING (page_id, url, fetched)"""
+
 _OP6_SQL = r"""WITH a AS (SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*)</article>', 1) AS t FROM pages),
 plain AS (SELECT page_id, url, regexp_replace(t, '<[^>]*>', ' ', 'g') AS t FROM a),
 one AS (SELECT page_id, url, regexp_replace(regexp_replace(regexp_replace(t, '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&quot;?', '"', 'g') AS t FROM plain),
@@ -172,6 +236,7 @@ SELECT query_id, rank::INT AS rank, vec_id, score FROM
 ORACLES: dict[str, str] = {
     "op1_quality_rules": _op1_sql(),
     "op2_mixing": _OP2_SQL,
+    "op5_url_filter": _OP5_SQL,
     "op6_html_extraction": _OP6_SQL,
     "op7_top_k": _OP7_SQL,
 }
