@@ -54,3 +54,23 @@ def cut(df: DataFrame) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def maybe_in(df: DataFrame, key: str, keys: DataFrame, bits: int = 22) -> DataFrame:
+    """The rows of ``df`` whose key, a 64-bit hash, may be among those of ``keys``: all that are, and few others
+    while there are far fewer keys than 2^bits. Used before a shuffle that an exact join ends. The keys become a
+    bitmap of 2^bits bits, whatever their number, which reaches the tasks as the value of a scalar subquery."""
+    n = 1 << (bits - 6)
+
+    def place(c: Column) -> Column:
+        return c.bitwiseAND(F.lit(n - 1))
+
+    def bit(c: Column) -> Column:
+        return F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(c, 40).bitwiseAND(F.lit(63)).cast("int"))
+
+    k = keys.columns[0]
+    held = keys.groupBy(place(F.col(k)).alias("id")).agg(F.bit_or(bit(F.col(k))).alias("bits"))
+    every = df.sparkSession.range(0, n, 1, 1).join(held, "id", "left")
+    word = F.struct("id", F.coalesce("bits", F.lit(0).cast("long")).alias("bits"))
+    bitmap = cut(every.agg(F.transform(F.sort_array(F.collect_list(word)), lambda w: w["bits"]).alias("bitmap")))
+    return df.where(F.get(bitmap.scalar(), place(F.col(key)).cast("int")).bitwiseAND(bit(F.col(key))) != 0)
