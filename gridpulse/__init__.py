@@ -1,0 +1 @@
+"""Network-operations analytics on Spark DataFrames."""
