@@ -329,7 +329,8 @@ def jn9_propagation_pairs(s, d):
 
 @query
 def ag6_propagation_rules(s, d):
-    return _rounded(_rules(s, d))
+    delays = ("avg_delay_sec", "std_delay_sec", "min_delay_sec", "max_delay_sec")
+    return _rounded(_rules(s, d).withColumns({c: F.round(c, 3) for c in delays}))
 
 
 def _predicted(s: SparkSession, d: str, k: int | None, least: float) -> DataFrame:
