@@ -1,0 +1,42 @@
+from gridpulse.llm import secrets
+
+KEY = "04dbebab91ab85687d33eeaaf9ac699e1188f9{:02x}"
+
+
+def docs_of(spark, n=120):
+    rows = []
+    for i in range(n):
+        key = KEY.format(i)[: 40 - i % 3]
+        rows.append((i, f'some plain words then token = "{key}" and 49024917345{i:05d} follows the plain words', f"src{i % 3}"))
+    return spark.createDataFrame(rows, "doc_id long, text string, source string")
+
+
+def test_keys_stay_and_numbers_go(spark):
+    got = secrets.scan(docs_of(spark)).collect()
+    assert len(got) == 240
+    assert all(r.secret == (not r.candidate.isdigit()) for r in got)
+    assert {(r.doc_id, r.word) for r in got if r.secret} == {(i, 6) for i in range(120)}
+
+
+def test_held_out_findings_are_told_apart(spark):
+    df = docs_of(spark)
+    found = secrets.candidates(df)
+    labels = found.where("doc_id < 60").selectExpr("doc_id", "word", "int(NOT candidate RLIKE '^[0-9]+$') AS label")
+    got = secrets.scan(df, labels).where("doc_id >= 60").collect()
+    assert sum(r.secret == (not r.candidate.isdigit()) for r in got) >= 0.95 * len(got)
+
+
+def test_odd_rows_and_empty_tables(spark, odd, none):
+    assert secrets.scan(odd).count() == 0 and secrets.scan(none).count() == 0
+    df = docs_of(spark, 5)
+    labels = secrets.candidates(df).selectExpr("doc_id", "word", "1 AS label")
+    assert all(r.secret and r.score == 1.0 for r in secrets.scan(df, labels).collect())
+    assert all(r.secret and r.score is None for r in secrets.scan(df, labels.limit(0)).collect())
+    twice = df.union(df.limit(1))
+    assert secrets.scan(twice, labels).count() == 12
+
+
+def test_places_and_neighbours(spark):
+    df = spark.createDataFrame([(1, "a1b2c3d4e5f6a7b8c9\tx\n  Y a1b2c3d4e5f6a7b8c9", None)], "doc_id long, text string, source string")
+    got = sorted(secrets.candidates(df).collect(), key=lambda r: r.word)
+    assert [(r.word, r.before2, r.before, r.after) for r in got] == [(0, None, None, "x"), (3, "x", "y", None)]
