@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,3 +22,21 @@ def cut(df: DataFrame) -> DataFrame:
     no recomputation of what came before."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the Python workers, once per application, so that they need no copy of their own.
+    Spark serves the file from the driver to every executor."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parents[1]
+    path = Path(tempfile.mkdtemp(prefix="spark-"), f"{package.name}.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    sc.addPyFile(str(path))
+    _shipped.add(sc.applicationId)
