@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.shared import checkpoint_dir, cut, ship
+
+__all__ = ["WHITE", "checkpoint_dir", "count_words", "cut", "maybe_in", "ship", "table", "text_of", "unit_hash", "without", "words"]
+
 #: The white space that separates words: space, tab, line feed, vertical tab, form feed, carriage return.
 WHITE = " \t\n\x0b\x0c\r"
 
@@ -37,21 +39,6 @@ def unit_hash(*parts: Column) -> Column:
     return F.conv(F.substring(digest, 1, 12), 16, 10).cast("double") / float(1 << 48)
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a temporary one only where none is named, as in tests."""
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
-    return sc.getCheckpointDir()
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """The same rows with their lineage cut: written to the shared checkpoint folder, so a lost executor
-    costs no recomputation of what came before."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, ship
 
 #: Entries of a page, vectors of a tree and queries of a block.
 PAGE = 128
@@ -158,6 +158,7 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 10) -> DataFrame:
     ``vectors`` has vec_id and v, arrays of whole doubles, null if they take no part. Each query meets each tree
     once: queries in blocks against all rows.
     """
+    ship(vectors.sparkSession)
     rows = cut(
         vectors.where("vec_id is not null and v is not null")
         .groupBy("vec_id")

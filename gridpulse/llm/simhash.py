@@ -26,8 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
-from .components import components
+from ..operators.components import components
+from .common import cut, ship
 
 #: Shards above so many fingerprints are cut into chunks of half as many.
 LIMIT = 1024
@@ -61,6 +61,7 @@ def fingerprints(docs: DataFrame, shingle: int = 5) -> DataFrame:
             fps = np.array([simhash(t.as_py(), shingle) for t in batch.column(1)], np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
 
+    ship(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fp long")
 
 
@@ -215,6 +216,7 @@ def links(fps: DataFrame, radius: int = 4) -> DataFrame:
                 a, b = _links(left, right, radius)
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
+    ship(fps.sparkSession)
     return work.mapInArrow(run, "a long, b long")
 
 
