@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..operators.shared import SMALL, cut
+
 # Generation by technology, status codes, severity codes.
 GENERATIONS = {
     "GSM": 2, "T2G": 2, "UMTS": 3, "T3G": 3, "LTE": 4, "T4G": 4, "FDD": 4, "TDD": 4, "T5G": 5, "T4G_T5G": 5,
@@ -56,7 +58,8 @@ def ne_age_features(df: DataFrame, as_of: str) -> DataFrame:
 
 def encode_categoricals(df: DataFrame, columns: Sequence[str] = CATEGORICAL) -> DataFrame:
     """<column>_ENC: the place of the value among the column's sorted values, null as 'UNKNOWN'; 0 for a column
-    that isn't there. All columns' values are found in one pass; each is a row per distinct value."""
+    that isn't there. All columns' values are found in one pass, a row per distinct value, and broadcast if they
+    are few."""
     present = [c for c in columns if c in df.columns]
     for c in columns:
         if c not in present:
@@ -70,8 +73,11 @@ def encode_categoricals(df: DataFrame, columns: Sequence[str] = CATEGORICAL) ->
         .distinct()
         .withColumn("enc", F.row_number().over(W.partitionBy("c").orderBy("v")) - 1)
     )
+    values = cut(values)
+    few = values.count() <= SMALL
     for c in present:
         codes = values.where(F.col("c") == c).select(F.col("v").alias("__v"), F.col("enc").alias(f"{c}_ENC"))
+        codes = F.broadcast(codes) if few else codes
         df = df.join(codes, value(c) == F.col("__v"), "left").drop("__v")
     return df
 

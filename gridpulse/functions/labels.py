@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.shared import small
+
 # The keyword tests of the label rules, in their order; the first that matches decides.
 OUTAGE_RULES = (
     ("POWER_ISSUE", ("power", "fru", "supply")),
@@ -74,7 +76,7 @@ def label_alarms(alarms: DataFrame, library: DataFrame, min_raw_share: float = 0
     )
     return (
         alarms.withColumn("alarm_code", F.col("alarm_code").cast("string"))
-        .join(known, "alarm_code", "left")
+        .join(small(known), "alarm_code", "left")
         .withColumn("root_cause", F.coalesce("entry.label", F.lit("UNKNOWN")))
         .drop("entry")
     )

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .shared import small
+
 PAD, UNKNOWN = 0, 1
 
 
@@ -23,7 +25,7 @@ def encode_sequences(incidents: DataFrame, vocab: DataFrame, length: int = 20, k
     steps = incidents.select(key, F.posexplode(F.slice(sequence, F.greatest(F.size(sequence) - length + 1, F.lit(1)), length)).alias("at", "code"))
     coded = (
         steps.withColumn("code", F.trim("code"))
-        .join(vocab, "code", "left")
+        .join(small(vocab), "code", "left")
         .groupBy(key)
         .agg(F.transform(F.sort_array(F.collect_list(F.struct("at", F.coalesce("index", F.lit(UNKNOWN)).alias("i")))), lambda x: x["i"]).alias("some"))
     )

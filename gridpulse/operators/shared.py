@@ -7,6 +7,7 @@ import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -24,6 +25,16 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+#: Tables of at most so many rows are broadcast.
+SMALL = 100_000
+
+
+def small(df: DataFrame, limit: int = SMALL) -> DataFrame:
+    """The rows, written and counted; marked for broadcast if they are few, else left to a shuffled join."""
+    df = cut(df)
+    return F.broadcast(df) if df.count() <= limit else df
+
+
 _shipped: set[str] = set()
 
 
