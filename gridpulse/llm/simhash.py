@@ -13,11 +13,15 @@ other; a text with fewer words than a shingle is one shingle; documents with equ
 document whose id is null takes part, but a component is named by its smallest id that isn't null, and has none
 if all are. Very long texts are hashed whole, a part of the shingles at a time. Columns other than those asked
 for are kept by `keep_one` and ignored by `near_duplicates`.
+
+`keep_one` asks for Jaccard similarity instead of a number of bits: its candidates come from the BK-trees and from
+MinHash buckets, and each is verified by the exact sets of word shingles. Documents without an id are told apart by
+their texts.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import partial
 from itertools import combinations, islice
 
@@ -27,32 +31,50 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.components import components
-from .common import cut, ship
+from . import linededup
+from .common import cut, maybe_in, ship, text_of
 
 #: Shards above so many fingerprints are cut into chunks of half as many.
 LIMIT = 1024
 #: Up to so many large shards their list (key and count) is broadcast; beyond it Spark joins by shuffling.
 MAX_BROADCAST = 100_000
 SLICE = 1 << 17
+#: MinHash of `similar_texts`: at similarity 0.8 twelve bands of four minima hold 99.8 % of the pairs.
+BANDS, ROWS = 12, 4
+#: A bucket of up to so many texts compares all pairs at once.
+ALL_PAIRS = 16
+_numbers = np.random.default_rng(42).integers(0, 1 << 64, (2, BANDS * ROWS), np.uint64)
+FLIPS, ODDS = list(_numbers[0]), list(_numbers[1] | np.uint64(1))
 
 
-def simhash(text: str | None, shingle: int, seed: int = 42) -> int:
-    """The fingerprint: a bit is set if over half of the shingles' XXH64 have it."""
+def _hashes(text: str | None, shingle: int, seed: int = 42) -> Iterator[np.ndarray]:
+    """XXH64 of the shingles, a part at a time; nothing for a text without words."""
     import xxhash
 
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()  # bytes: A-Z only, and ASCII white space
     if not words:
-        return 0
+        return
     if len(words) < shingle:
         words, shingle = [b" ".join(words)], 1
     grams = map(b" ".join, zip(*[words[i:] for i in range(shingle)]))
     hashes = map(partial(xxhash.xxh64_intdigest, seed=seed), grams)
-    n, ones = len(words) - shingle + 1, np.zeros(64, np.int64)
     while len(part := np.fromiter(islice(hashes, SLICE), np.uint64)):
+        yield part
+
+
+def _majority(parts: Iterable[np.ndarray]) -> int:
+    n, ones = 0, np.zeros(64, np.int64)
+    for part in parts:
+        n += len(part)
         ones += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     return int(np.packbits(ones * 2 > n, bitorder="little").view(np.uint64)[0])
 
 
+def simhash(text: str | None, shingle: int, seed: int = 42) -> int:
+    """The fingerprint: a bit is set if over half of the shingles' XXH64 have it."""
+    return _majority(_hashes(text, shingle, seed))
+
+
 def fingerprints(docs: DataFrame, shingle: int = 5) -> DataFrame:
     """doc_id and the fingerprint fp, a long with the 64 bits."""
 
@@ -230,11 +252,77 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, radius: int = 4) -> DataF
     return prints.join(named.join(names, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, shingle: int = 5, radius: int = 4) -> DataFrame:
-    """One document of each component, with the columns of ``docs``: that with the smallest id."""
-    found = near_duplicates(docs, shingle, radius)
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__kept")).distinct()
-    return (
-        docs.join(kept, docs["doc_id"].eqNullSafe(F.col("__kept")), "left_semi")
-        .dropDuplicates(["doc_id"])
-    )
+def _bands(parts: list[np.ndarray]) -> np.ndarray:
+    """A bucket for each band of a few minima of the shingles' hashes."""
+    import xxhash
+
+    if not parts:
+        parts = [np.zeros(1, np.uint64)]
+    minima = [min(int(((part ^ flip) * odd).min()) for part in parts) for flip, odd in zip(FLIPS, ODDS)]
+    rows = np.array(minima, np.uint64).reshape(BANDS, ROWS)
+    return np.array([xxhash.xxh64_intdigest(r.tobytes(), seed=band) for band, r in enumerate(rows)], np.uint64).view(np.int64)
+
+
+def sketches(docs: DataFrame, shingle: int = 5) -> DataFrame:
+    """id (a text's hash), fp and the MinHash buckets of each distinct text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fps, buckets = [], []
+            for t in batch.column(1):
+                parts = list(_hashes(t.as_py(), shingle))
+                fps.append(_majority(parts))
+                buckets.append(_bands(parts).tolist())
+            fps = pa.array(np.array(fps, np.uint64).view(np.int64))
+            columns = [batch.column(0), fps, pa.array(buckets, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "fp", "buckets"])
+
+    ship(docs.sparkSession)
+    rows = docs.select(F.xxhash64(text_of()).alias("id"), "text").mapInArrow(run, "id long, fp long, buckets array<long>")
+    return rows.dropDuplicates(["id"])
+
+
+def _sets(docs: DataFrame, needed: DataFrame, shingle: int) -> DataFrame:
+    """id and the set of shingle hashes of the texts asked for; a text without words has one shingle."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                parts = list(_hashes(batch.column(1)[k].as_py(), shingle)) or [np.zeros(1, np.uint64)]
+                values = pa.array(np.unique(np.concatenate(parts)).view(np.int64))
+                sets = pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(k, 1), sets], names=["id", "set"])
+
+    ship(docs.sparkSession)
+    texts = maybe_in(docs.select(F.xxhash64(text_of()).alias("id"), "text"), "id", needed)
+    texts = texts.dropDuplicates(["id"]).join(needed, "id", "left_semi")
+    return texts.select("id", "text").mapInArrow(run, "id long, set array<long>")
+
+
+def similar_texts(docs: DataFrame, shingle: int = 5, radius: int = 4, similarity: float = 0.8) -> DataFrame:
+    """a, b: links between texts (by hash) whose sets of word shingles have at least the Jaccard similarity.
+
+    Candidates are fingerprints within the radius, by BK-trees, and texts that share a MinHash bucket: at
+    similarity 0.8 fingerprints differ in ten bits on average, where bit blocks select nothing."""
+    every = cut(sketches(docs, shingle))
+    first = cut(every.groupBy("fp").agg(F.min("id").alias("first")))
+    a, b = first.select(F.col("fp").alias("a"), F.col("first").alias("i")), first.select(F.col("fp").alias("b"), F.col("first").alias("j"))
+    near = links(first.select("fp"), radius).distinct().join(a, "a").join(b, "b").select("i", "j")
+    near = near.union(every.join(first, "fp").select("id", "first")).toDF("i", "j").where("i != j")
+    near = near.select(F.least("i", "j").alias("a"), F.greatest("i", "j").alias("b"))
+    keyed = every.select("id", F.explode("buckets").alias("bucket")).select("bucket", "id")
+    return linededup.links_in_buckets(keyed, lambda needed: _sets(docs, needed, shingle), similarity, ALL_PAIRS, near)
+
+
+def keep_one(docs: DataFrame, shingle: int = 5, radius: int = 4, similarity: float = 0.8) -> DataFrame:
+    """One document of each component of similar texts, with the columns of ``docs``: that with the smallest id,
+    then the smallest text hash; ids that are null come last. Rows with equal id and text are one document."""
+    roots = components(similar_texts(docs, shingle, radius, similarity)).withColumnRenamed("node", "text_id")
+    text_id = F.xxhash64(text_of())
+    named = docs.select("doc_id", text_id.alias("text_id")).distinct().join(roots, "text_id", "left")
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_id")
+    first = named.groupBy(F.coalesce("root", "text_id").alias("root")).agg(F.min(order).alias("f"))
+    kept = cut(first.select(F.col("f.doc_id").alias("__kept"), F.col("f.text_id").alias("__kept_text")))
+    rows = docs.withColumn("__text", text_id)
+    here = rows["doc_id"].eqNullSafe(kept["__kept"]) & (rows["__text"] == kept["__kept_text"])
+    return rows.join(kept, here, "left_semi").dropDuplicates(["doc_id", "__text"]).drop("__text")

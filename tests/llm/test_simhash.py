@@ -93,3 +93,26 @@ def test_near_copies_are_found_and_others_left(spark):
     rows = [(0, " ".join(base)), (1, " ".join(near)), (2, " ".join(base)), (3, " ".join(word() for _ in range(1500)))]
     got = {r.doc_id: r.component_id for r in s.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {0: 0, 1: 0, 2: 0, 3: 3}
+
+
+def test_keep_one_finds_copies_at_similarity_0_8(spark):
+    rnd = random.Random(8)
+    word = lambda: "".join(rnd.choice("abcdefghij") for _ in range(6))
+    rows, similar = [], 0
+    for k in range(200):
+        base = [word() for _ in range(300)]
+        near = list(base)
+        for i in rnd.sample(range(300), rnd.randint(2, 9)):
+            near[i] = word()
+        x, y = ({tuple(w[i : i + 5]) for i in range(296)} for w in (base, near))
+        similar += len(x & y) >= 0.8 * len(x | y)
+        rows += [(2 * k, " ".join(base)), (2 * k + 1, " ".join(near))]
+    got = s.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).count()
+    assert 50 < similar < 200 and 400 - similar <= got <= 400 - 0.98 * similar
+
+
+def test_keep_one_tells_documents_apart_by_text(spark):
+    text = lambda x: " ".join(f"{x}{i}" for i in range(30))
+    rows = [(None, text("a")), (None, text("b")), (None, text("b")), (1, text("c")), (1, text("d")), (2, text("d"))]
+    got = s.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in got) == [(0, text("a")), (0, text("b")), (1, text("c")), (1, text("d"))]
