@@ -1,8 +1,8 @@
 """Secret scans: a random forest that removes false positives (native).
 
-Candidates are long runs of key characters with a digit. Each has features of its length, its character
+Candidates are long runs of key characters with a digit, every one of a word. Each has features of its length, its character
 transitions, how much of it a dictionary of the corpus covers, its path (the source and the separators in it)
-and the words around it. A forest trained on labelled findings scores every candidate of the corpus.
+and the words around it, to which belongs what stands before it in its own word. A forest trained on labelled findings scores every candidate of the corpus.
 
 Nulls and edge cases: a null or empty text has no candidates; a null source is one of its own; long texts are
 scanned whole; a text may hold a candidate several times, a row for each; if the findings have labels of one kind
@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 from .common import cut, text_of, unit_hash, words
 
 KEY = r"[A-Za-z0-9+/_\-]{16,}={0,2}"
+#: A run of key characters with what stands between it and the run before.
+EACH = rf"(?s)\G(.*?)({KEY})"
 NUMBERS = ("length", "digits", "hex", "upper", "turns", "bigrams", "vowels", "coverage", "separators")
 
 
@@ -43,7 +45,8 @@ class Params:
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """doc_id, source, word (its place among the words), candidate, before2, before, after."""
+    """doc_id, source, word (its place among the words), place (among the word's runs), candidate, before2, before,
+    after."""
     t = text_of()
     w = docs.where(t.rlike(KEY)).select("doc_id", "source", words(t).alias("w"))
     word = F.col("w")
@@ -53,15 +56,35 @@ def candidates(docs: DataFrame) -> DataFrame:
             x.rlike(KEY) & x.rlike("[0-9]"),
             F.struct(
                 i.cast("long").alias("word"),
-                F.regexp_extract(x, KEY, 0).alias("candidate"),
-                F.lower(F.get(word, i - 2)).alias("before2"),
-                F.lower(F.get(word, i - 1)).alias("before"),
+                x.alias("x"),
+                F.lower(F.get(word, i - 2)).alias("left2"),
+                F.lower(F.get(word, i - 1)).alias("left"),
                 F.lower(F.get(word, i + 1)).alias("after"),
             ),
         ),
     )
-    some = F.filter(around, lambda x: x.isNotNull() & x["candidate"].rlike("[0-9]"))
-    return w.select("doc_id", "source", F.explode(some).alias("c")).select("doc_id", "source", "c.*")
+    some = w.select("doc_id", "source", F.explode(F.filter(around, lambda x: x.isNotNull())).alias("c"))
+    gaps, runs = (F.regexp_extract_all("c.x", F.lit(EACH), F.lit(k)) for k in (1, 2))
+    each = some.select("doc_id", "source", "c", gaps.alias("gaps"), runs.alias("runs"))
+    # The run before each run; the list is longer by one, whose row has no run and goes.
+    each = each.withColumn("prior", F.concat(F.array(F.lit("")), "runs"))
+    each = each.select("doc_id", "source", "c", F.posexplode(F.arrays_zip("gaps", "runs", "prior")).alias("place", "r"))
+    each = each.where(F.col("r.runs").rlike("[0-9]"))
+    # Names and signs before the run in its word, without quotes and brackets.
+    text = F.translate(F.lower(F.concat("r.prior", "r.gaps")), "\"'`()[]{}<>", "")
+    each = each.withColumn("inner", F.regexp_extract_all(text, F.lit(r"[\p{L}\p{N}_.+/\-]+|[^\p{L}\p{N}_.+/\-]+"), F.lit(0)))
+    n = F.size("inner")
+    last = F.get("inner", n - 1)
+    return each.select(
+        "doc_id",
+        "source",
+        F.col("c.word").alias("word"),
+        F.col("place").cast("long").alias("place"),
+        F.col("r.runs").alias("candidate"),
+        F.when(n == 0, F.col("c.left2")).when(n == 1, F.col("c.left")).otherwise(F.get("inner", n - 2)).alias("before2"),
+        F.when(n == 0, F.col("c.left")).otherwise(last).alias("before"),
+        F.col("c.after").alias("after"),
+    )
 
 
 def dictionary(docs: DataFrame, params: Params) -> DataFrame:
@@ -118,9 +141,9 @@ def train(rated: DataFrame, params: Params) -> PipelineModel | float | None:
     if ones in (0, total):
         return float(ones) / total
     share = params.max_findings / total
-    some = rated.where(unit_hash(F.lit("findings"), F.col("doc_id"), F.col("word")) < share) if share < 1 else rated
+    some = rated.where(unit_hash(F.lit("findings"), F.col("doc_id"), F.col("word"), F.col("place")) < share) if share < 1 else rated
     # Bounded, so it fits one partition; in one order, so that reruns draw the same bags.
-    some = cut(some.repartition(1).sortWithinPartitions("doc_id", "word", "candidate"))
+    some = cut(some.repartition(1).sortWithinPartitions("doc_id", "word", "place", "candidate"))
     forest = RandomForestClassifier(
         numTrees=params.trees, maxDepth=params.depth, seed=params.seed, labelCol="label", featuresCol="vector"
     )
@@ -130,22 +153,24 @@ def train(rated: DataFrame, params: Params) -> PipelineModel | float | None:
 
 
 def scan(docs: DataFrame, findings: DataFrame | None = None, params: Params | None = None) -> DataFrame:
-    """doc_id, word, candidate, score and secret for every candidate.
+    """doc_id, word, place, candidate, score and secret for every candidate.
 
-    findings: doc_id, word, label of reviewed candidates. Without them `reviewed` gives labels.
+    findings: doc_id, word, place, label of reviewed candidates; without a place a label is for all of the word.
+    Without findings `reviewed` gives labels.
     """
     p = params or Params()
     found = cut(candidates(docs))
     rated = cut(features(found, dictionary(docs, p), p))
     findings = reviewed(rated) if findings is None else findings
-    labels = findings.groupBy("doc_id", "word").agg(F.max("label").cast("double").alias("label"))
-    model = train(rated.join(labels, ["doc_id", "word"]), p)
+    key = [c for c in ("doc_id", "word", "place") if c in findings.columns]
+    labels = findings.groupBy(*key).agg(F.max("label").cast("double").alias("label"))
+    model = train(rated.join(labels, key), p)
     if isinstance(model, PipelineModel):
         scored = model.transform(rated).withColumn("score", F.get(vector_to_array("probability"), F.lit(1)))
     else:
         scored = rated.withColumn("score", F.lit(model).cast("double"))
     secret = F.coalesce(F.col("score") >= p.threshold, F.lit(True))
-    return scored.select("doc_id", "word", "candidate", "score", secret.alias("secret"))
+    return scored.select("doc_id", "word", "place", "candidate", "score", secret.alias("secret"))
 
 
 def reviewed(found: DataFrame) -> DataFrame:
@@ -154,4 +179,4 @@ def reviewed(found: DataFrame) -> DataFrame:
     named = F.col("before2").rlike("token|secret|passw|api.?key|credential") & F.col("before").isin("=", ":", ":=")
     number = F.col("candidate").rlike("^[0-9]+$")
     label = F.when(named & ~number, 1).when(number & ~named, 0)
-    return found.select("doc_id", "word", label.alias("label")).where("label is not null")
+    return found.select("doc_id", "word", "place", label.alias("label")).where("label is not null")
