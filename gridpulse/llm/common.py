@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..operators.shared import checkpoint_dir, cut, ship
 
-__all__ = ["WHITE", "checkpoint_dir", "count_words", "cut", "maybe_in", "ship", "table", "text_of", "unit_hash", "without", "words"]
+__all__ = [
+    "WHITE", "checkpoint_dir", "count_words", "cut", "join_named", "maybe_in", "numbered", "ship", "table", "text_of",
+    "unit_hash", "without", "words",
+]
 
 #: The white space that separates words: space, tab, line feed, vertical tab, form feed, carriage return.
 WHITE = " \t\n\x0b\x0c\r"
@@ -61,3 +65,42 @@ def maybe_in(df: DataFrame, key: str, keys: DataFrame, bits: int = 22) -> DataFr
     word = F.struct("id", F.coalesce("bits", F.lit(0).cast("long")).alias("bits"))
     bitmap = cut(every.agg(F.transform(F.sort_array(F.collect_list(word)), lambda w: w["bits"]).alias("bitmap")))
     return df.where(F.get(bitmap.scalar(), place(F.col(key)).cast("int")).bitwiseAND(bit(F.col(key))) != 0)
+
+
+#: A key is hot if it has more than one in so many of the rows; so there are fewer hot keys than this number.
+HOT = 1000
+
+
+def join_named(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """left joined with right, which has one row for each key, "inner" or "left". Rows of hot keys, of which there are
+    fewer than HOT, are joined by broadcast where they are, so none makes one task larger than the others. ``left`` is
+    read several times and should be cut. Null keys match nothing."""
+    counts = left.where(F.col(key).isNotNull()).groupBy(key).count()
+    total = left.count()
+    hot = cut(counts.where(F.col("count") > max(total // HOT, 1000)).select(key))
+    if hot.isEmpty():
+        return left.join(right, key, how)
+    few = F.broadcast(cut(right.join(F.broadcast(hot), key, "left_semi")))
+    hot = F.broadcast(hot)
+    return left.join(hot, key, "left_semi").join(few, key, how).unionByName(left.join(hot, key, "left_anti").join(right, key, how))
+
+
+def numbered(rows: DataFrame, keys: list[str], out: str) -> DataFrame:
+    """The rows with the long ``out``: 0 for a row whose keys no other row has, else its number among those with
+    these keys, without gaps. Which of the rows that agree gets which number is open; all else is a property of the
+    data. Only rows with repeated keys are shuffled, dealt by the task that they come from, too, so that a key with very
+    many rows is numbered by many tasks. Null keys agree."""
+    part, first = "__part", "__first"
+    rows = rows.withColumn(part, F.spark_partition_id())
+    same = cut(rows.groupBy(*keys).agg(F.count("*").alias("__n")).where("__n > 1").select(*[F.col(k).alias(f"__{i}") for i, k in enumerate(keys)]))
+    if same.isEmpty():
+        return rows.drop(part).withColumn(out, F.lit(0).cast("long"))
+    alike = lambda: [F.col(k).eqNullSafe(F.col(f"__{i}")) for i, k in enumerate(keys)]
+    some = cut(rows.join(same, alike(), "left_semi"))
+    counts = some.groupBy(*keys, part).agg(F.count("*").alias("__n"))
+    before = F.sum("__n").over(W.partitionBy(*keys).orderBy(part)) - F.col("__n")  # a row for each task at most
+    firsts = counts.select(*[F.col(k).alias(f"__{i}") for i, k in enumerate(keys)], F.col(part).alias("__of"), before.alias(first))
+    number = F.row_number().over(W.partitionBy(*keys, part).orderBy(F.lit(0))) - 1
+    some = some.withColumn(out, number).join(firsts, [*alike(), F.col(part) == F.col("__of")])
+    some = some.withColumn(out, F.col(out) + F.col(first)).select(*[c for c in rows.columns if c != part], out)
+    return rows.join(same, alike(), "left_anti").drop(part).withColumn(out, F.lit(0).cast("long")).unionByName(some)

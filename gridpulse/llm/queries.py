@@ -190,7 +190,8 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 
 
 _OP2_SQL = f"""WITH RECURSIVE
-d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size FROM documents),
+d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size, md5(coalesce(text, '')) AS h,
+  row_number() OVER (PARTITION BY doc_id, md5(coalesce(text, ''))) - 1 AS nth FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size, [5.0, 2.0, 1.0][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT] AS weight FROM d GROUP BY source),
 fill AS (SELECT 0 AS step, source, source_size, weight, false AS full_ FROM s
   UNION ALL
@@ -203,7 +204,7 @@ last AS (SELECT *, (sum(source_size) OVER () - sum(CASE WHEN full_ THEN 3 * sour
 t AS (SELECT source, source_size, CASE WHEN full_ THEN 3.0 * source_size ELSE weight * level END::DOUBLE AS target FROM last),
 r AS (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate FROM t)
 SELECT doc_id, size, source_size, target,
-  (size * (floor(rate) + CASE WHEN {_unit("'0'", "coalesce(doc_id::VARCHAR, 'null')")} < rate - floor(rate) THEN 1 ELSE 0 END))::BIGINT AS taken
+  (size * (floor(rate) + CASE WHEN {_unit("'0'", "coalesce(doc_id::VARCHAR, 'null')", "h", "nth::VARCHAR")} < rate - floor(rate) THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source"""
 
 _OP5_SQL = r"""WITH u AS (SELECT page_id, url, make_timestamp((1704067200 + ('0x' || substr(md5(page_id::VARCHAR), 1, 8))::BIGINT % (366 * 86400)) * 1000000) AS fetched,
@@ -216,7 +217,7 @@ c AS (SELECT DISTINCT * FROM (SELECT 'hosts' AS list, host AS pattern FROM p UNI
 n AS (SELECT *, ('0x' || substr(md5(list || ' ' || pattern), 1, 8))::BIGINT AS n FROM c),
 i AS (SELECT list, rtrim(pattern, '/') AS pattern, n, unnest(CASE n % 4 WHEN 0 THEN [[0, 100000]] WHEN 1 THEN [[0, 60]] ELSE [[0, 30], [90, 100000]] END) AS s FROM n WHERE n % 5 = 0),
 spans AS (SELECT list, pattern, TIMESTAMP '2024-01-01' + to_days((n % 200 + s[1])::INT) AS since, TIMESTAMP '2024-01-01' + to_days((n % 200 + s[2])::INT) AS until FROM i),
-hosts AS (SELECT page_id, url, fetched, path, first, unnest(list_transform(range(1, greatest(len(l), 2)), lambda k: array_to_string(list_slice(l, k, len(l)), '.'))) AS h FROM p),
+hosts AS (SELECT page_id, url, fetched, path, first, unnest(list_transform(range(1, len(l) + 1), lambda k: array_to_string(list_slice(l, k, len(l)), '.'))) AS h FROM p),
 asked AS (SELECT page_id, url, fetched, h AS pattern FROM hosts UNION SELECT page_id, url, fetched, h || '/' || first FROM hosts WHERE first <> ''),
 hits AS (SELECT page_id, url, fetched, string_agg(DISTINCT list, ',' ORDER BY list) AS lists FROM asked JOIN spans USING (pattern) WHERE fetched >= since AND fetched < until GROUP BY ALL)
 SELECT p.page_id, p.url, p.fetched, coalesce(lists, '') AS lists, lists IS NOT NULL AS blocked FROM p LEFT JOIN hits USING (page_id, url, fetched)"""

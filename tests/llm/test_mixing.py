@@ -46,3 +46,23 @@ def test_the_mix_comes_near_its_targets_and_reruns_agree(spark):
     assert n == {r.doc_id: r.taken for r in mixing.plan(again).collect()}
     copies = {r.doc_id: r["count"] for r in mixing.mix(again).groupBy("doc_id").count().collect()}
     assert all(copies.get(i, 0) * (i % 20 + 1) == t for i, t in n.items())
+
+
+def test_repeated_ids_draw_for_themselves(spark):
+    """A source of one id, one of null ids, one of equal rows, and one of other ids."""
+    kinds = {"one": "0", "none": "null", "same": "7", "rest": "id + 10"}
+    weights = (1.1, 1.3, 0.9, 0.7)
+    rows = None
+    for source, id in kinds.items():
+        text = "'w w w'" if source == "same" else "concat('w ', id, ' x')"
+        some = spark.range(3000).selectExpr(f"{id} AS doc_id", f"'{source}' AS source", f"{text} AS text")
+        rows = some if rows is None else rows.union(some)
+    plan = mixing.plan(rows, weights)
+    source = F.expr("case when doc_id is null then 'none' when doc_id = 0 then 'one' when doc_id = 7 then 'same' else 'rest' end")
+    for r in plan.groupBy(source).agg(F.sum("taken").alias("taken"), F.max("target").alias("target"), F.countDistinct("taken").alias("kinds")).collect():
+        assert r.taken == pytest.approx(r.target, rel=0.05) and r.kinds == 2
+    digest = lambda df: sorted((r.doc_id if r.doc_id is not None else -1, r.taken, r["count"]) for r in df.groupBy("doc_id", "taken").count().collect())
+    assert digest(plan) == digest(mixing.plan(rows.repartition(5), weights))
+    mixed = mixing.mix(rows, weights).groupBy("doc_id").count()
+    taken = plan.groupBy("doc_id").agg((F.sum("taken") / 3).cast("long").alias("count")).where("count > 0")
+    assert sorted(mixed.collect(), key=str) == sorted(taken.collect(), key=str)
