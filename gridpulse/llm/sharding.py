@@ -1,6 +1,6 @@
 """Sharding by balanced label propagation (native).
 
-Documents with equal texts are linked. Every document starts in a shard by the hash of its id. In each round,
+Documents with equal texts are linked. Every document starts in a shard by the hash of its id and text. In each round,
 joins tell every part of a group (its documents in one shard) where most of its neighbours are, and parts move
 there as far as quotas allow: a move from shard i to j needs a move back or free room in j. Documents without
 links stay out of the rounds; they fill what the linked ones leave. Finally every shard gives what it holds above
@@ -11,7 +11,7 @@ at most one row per shard; its documents learn their shard from their group's ro
 by counting buckets of rows first, so no shard is sorted in one task.
 
 Nulls and edge cases: a null text counts as the empty text; a null id hashes like any other value; repeated rows
-are separate documents of one group; an empty table stays empty; other columns are ignored by `assign`.
+are separate documents of one group, numbered so that each has a hash of its own; an empty table stays empty; other columns are ignored by `assign`.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import cut, text_of
+from .common import cut, join_named, numbered, text_of
 
 
 @dataclass(frozen=True)
@@ -111,7 +111,7 @@ def _settle(rows: DataFrame, total: int, p: Params) -> DataFrame:
     # Documents above the quota are numbered through; each shard below it takes an interval of the numbers.
     takers = sums.agg(F.sort_array(F.collect_list(F.struct("start", "room", "shard", "held"))).alias("takers"))
     placed = (
-        rows.withColumn("rank", F.row_number().over(W.partitionBy("shard", "bucket").orderBy("group", "doc_id", "die")) - 1)
+        rows.withColumn("rank", F.row_number().over(W.partitionBy("shard", "bucket").orderBy("group", "doc_id", "at")) - 1)
         .join(F.broadcast(offsets), ["shard", "bucket"])
         .join(F.broadcast(sums.select("shard", "quota", "out")), "shard")
         .crossJoin(F.broadcast(takers))  # one row of at most `shards` intervals
@@ -140,18 +140,25 @@ def assign(docs: DataFrame, params: Params | None = None) -> DataFrame:
             (F.octet_length(t) + 1).cast("long").alias("size"),
             F.crc32(t).cast("long").alias("crc"),
             group.alias("group"),
-            F.pmod(F.xxhash64("doc_id", F.lit(p.seed)), F.lit(p.shards)).cast("int").alias("shard"),
-            F.shiftrightunsigned(F.xxhash64(F.lit(p.seed + 1), "doc_id"), 8).alias("die"),
+        )
+    )
+    rows = numbered(rows, ["doc_id", "group"], "at")
+    rows = cut(
+        rows.withColumns(
+            {
+                "shard": F.pmod(F.xxhash64("doc_id", "group", "at", F.lit(p.seed)), F.lit(p.shards)).cast("int"),
+                "die": F.shiftrightunsigned(F.xxhash64(F.lit(p.seed + 1), "doc_id", "group", "at"), 8),
+            }
         )
     )
     total = rows.count()
     groups = _propagate(rows, total, p)
     # The document's share of its group, by hash, finds its part.
-    found = rows.join(groups, "group", "left")
+    found = join_named(rows, groups, "group", "left")
     at = F.pmod(F.col("die"), F.col("total"))
     part = F.get(F.filter("parts", lambda x: x["upto"] > at), F.lit(0))["shard"]
     labelled = found.select(
-        "doc_id", "size", "crc", "group", "die",
+        "doc_id", "size", "crc", "group", "at", "die",
         F.col("total").isNotNull().alias("linked"),
         F.coalesce("total", F.lit(1)).alias("total"),
         F.coalesce(part, F.col("shard")).alias("shard"),

@@ -43,3 +43,22 @@ def test_groups_stay_whole_and_a_hot_one_is_split_evenly(spark):
 @pytest.mark.parametrize("n", [1, 7, 8, 9, 65])
 def test_few_rows(spark, n):
     checked(spark.range(n).selectExpr("id AS doc_id", "'same' AS text"), n)
+
+
+def test_a_hot_id_is_dealt_like_others(spark):
+    rows = spark.range(4000).selectExpr("if(id % 3 = 0, 5, if(id % 3 = 1, null, id)) AS doc_id", "if(id % 2 = 0, 'same', concat('t', id)) AS text")
+    checked(rows, 4000)
+
+
+def test_fewer_links_are_cut_than_by_hash(spark):
+    """Against shards by the hash of the id alone: pairs of equal texts in different shards."""
+    rows = spark.range(4000).selectExpr("id AS doc_id", "concat('t', int(id / 4)) AS text")
+
+    def cut(placed):
+        n = Counter((bytes(r.group), r.shard) for r in placed)
+        total = Counter(bytes(r.group) for r in placed)
+        return sum(v * v for v in total.values()) - sum(v * v for v in n.values())
+
+    got = checked(rows, 4000)
+    base = rows.selectExpr("unhex(md5(text)) AS group", "pmod(xxhash64(doc_id), 8) AS shard").collect()
+    assert cut(got) < 0.1 * cut(base)
