@@ -4,8 +4,8 @@ Dated list entries (an addition or a removal of a pattern) become intervals in w
 Every capture is looked up under each suffix of its host, alone and with each path prefix, and joined with the
 intervals as of its fetch time.
 
-A pattern is a host, which covers its subdomains, or a host and a path prefix, whole segments. Schemes, user
-names, ports, the case of the host and a last dot don't matter.
+A pattern is a host, which covers its subdomains (a top-level domain too), or a host and a path prefix, whole segments.
+Schemes, user names, ports, the case of the host and a last dot don't matter. An IP address covers itself only.
 
 Nulls and edge cases: a null or unreadable url, or a null fetch time, is on no list; entries without a list,
 pattern, date or a known action are ignored; of several entries for one pattern at one time a removal wins; an
@@ -21,6 +21,10 @@ from pyspark.sql import functions as F
 
 from .common import cut
 
+SCHEME = r"[A-Za-z][A-Za-z0-9+.\-]*://"
+#: A host behind a user name; what follows it, a port or a path, isn't looked at.
+HOST = r"(?:[^/?#@]*@)?(\[[^\]/?#]*\]|[^/?#:@\[]+)"
+ADDRESS = r"^\[|^[0-9.]+$"
 #: Up to so many intervals (about 100 bytes each) are broadcast; beyond it captures are dealt by pattern.
 MAX_BROADCAST = 200_000
 #: Copies of each interval in that case, so that a hot host is spread over so many tasks.
@@ -29,21 +33,21 @@ SALTS = 64
 
 def host_of(url: Column) -> Column:
     """The host in lower case; empty if there is none."""
-    found = F.regexp_extract(url, r"^\s*[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:@]+)", 1)
+    found = F.regexp_extract(url, rf"^\s*{SCHEME}{HOST}", 1)
     return F.coalesce(F.rtrim(F.lower(found), F.lit(".")), F.lit(""))
 
 
 def path_of(url: Column) -> Column:
     """The path without its first slash."""
-    found = F.regexp_extract(url, r"^\s*[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]+/([^?#]*)", 1)
+    found = F.regexp_extract(url, rf"^\s*{SCHEME}[^/?#]+/([^?#]*)", 1)
     return F.coalesce(found, F.lit(""))
 
 
 def pattern(text: Column) -> Column:
     """A pattern in the form captures are looked up by: host, or host/path without a last slash."""
-    bare = F.regexp_replace(F.trim(text), r"^[A-Za-z][A-Za-z0-9+.\-]*://", "")
-    host = F.rtrim(F.lower(F.split_part(bare, F.lit("/"), F.lit(1))), F.lit("."))
-    path = F.regexp_replace(F.regexp_extract(bare, r"^[^/]*/(.*)$", 1), r"/+$", "")
+    bare = F.regexp_replace(F.trim(text), f"^{SCHEME}", "")
+    host = F.rtrim(F.lower(F.regexp_extract(bare, f"^{HOST}", 1)), F.lit("."))
+    path = F.regexp_replace(F.regexp_extract(bare, r"^[^/?#]*/([^?#]*)", 1), r"/+$", "")
     return F.when(path == "", host).otherwise(F.concat_ws("/", host, path))
 
 
@@ -62,10 +66,10 @@ def intervals(entries: DataFrame) -> DataFrame:
 
 def lookups(url: Column, depth: int) -> Column:
     """The patterns that cover a url, with at most so many path segments."""
-    labels = F.split(host_of(url), r"\.")
+    host = host_of(url)
+    labels = F.when(host.rlike(ADDRESS), F.array(host)).otherwise(F.split(host, r"\."))
     hosts = F.transform(
-        F.sequence(F.lit(0), F.greatest(F.size(labels) - 2, F.lit(0))),
-        lambda i: F.array_join(F.slice(labels, i + 1, F.size(labels)), "."),
+        F.sequence(F.lit(0), F.size(labels) - 1), lambda i: F.array_join(F.slice(labels, i + 1, F.size(labels)), ".")
     )
     if not depth:
         return hosts

@@ -48,7 +48,7 @@ def test_empty_tables_and_clashing_columns(spark):
 def test_random_cases_by_brute_force(spark, monkeypatch, most):
     monkeypatch.setattr(urlfilter, "MAX_BROADCAST", most)
     rnd = random.Random(3)
-    hosts = ["a.x.com", "b.x.com", "x.com", "y.org", "c.d.y.org"]
+    hosts = ["a.x.com", "b.x.com", "x.com", "y.org", "c.d.y.org", "org", "1.2.3.4"]
     entries = [(rnd.choice("lm"), rnd.choice(hosts) + rnd.choice(["", "/p", "/p/q"]), rnd.choice(["add", "remove"]), at(rnd.randrange(30))) for _ in range(40)]
     captures = [(i, f"http://{rnd.choice(hosts)}{rnd.choice(['', '/p', '/p/q/r', '/z'])}", at(rnd.randrange(32))) for i in range(80)]
 
@@ -58,8 +58,21 @@ def test_random_cases_by_brute_force(spark, monkeypatch, most):
 
     def want(url, t):
         host, _, path = url[7:].partition("/")
-        parts, segs = host.split("."), path.split("/") if path else []
-        keys = [".".join(parts[i:]) + "".join("/" + s for s in segs[:k]) for i in range(len(parts) - 1) for k in range(len(segs) + 1)]
+        parts, segs = [host] if host == "1.2.3.4" else host.split("."), path.split("/") if path else []
+        keys = [".".join(parts[i:]) + "".join("/" + s for s in segs[:k]) for i in range(len(parts)) for k in range(len(segs) + 1)]
         return sorted({n for n in "lm" for k in keys if on(n, k, t)})
 
     assert lists(spark, captures, entries) == {i: want(u, t) for i, u, t in captures}
+
+
+def test_ports_top_level_hosts_and_addresses(spark):
+    entries = [("port", "b.example.xyz:80/p/", "add", at(0)), ("user", "http://u:pw@C.example.xyz:8080", "add", at(0)), ("tld", "xyz", "add", at(0)), ("ip", "10.0.0.1", "add", at(0)), ("part", "0.1", "add", at(0)), ("v6", "[::1]:80/x", "add", at(0))]
+    captures = [(1, "http://b.example.xyz/p/q", at(1)), (2, "http://c.example.xyz/", at(1)), (3, "http://10.0.0.1:99/", at(1)), (4, "http://[::1]/x/y", at(1)), (5, "http://b.example.com/p", at(1))]
+    assert lists(spark, captures, entries) == {1: ["port", "tld"], 2: ["tld", "user"], 3: ["ip"], 4: ["v6"], 5: []}
+
+
+def test_a_hot_host_with_many_patterns(spark, monkeypatch):
+    monkeypatch.setattr(urlfilter, "MAX_BROADCAST", 10)
+    entries = [("x", f"hot.org/{k}", "add", at(k % 5)) for k in range(50)]
+    captures = [(i, f"http://www.hot.org:80/{i % 60}/x", at(i % 7)) for i in range(600)]
+    assert lists(spark, captures, entries) == {i: ["x"] if i % 60 < 50 and i % 60 % 5 <= i % 7 else [] for i in range(600)}
