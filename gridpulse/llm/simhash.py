@@ -6,11 +6,12 @@ shard. A shard has a BK-tree: children are keyed by their integer Hamming distan
 follows only edges within the radius of the query's distance. Trees and searches of many shards run together
 over numpy arrays. A shard above the limit is cut into chunks, whose trees are sent to the other chunks of the
 shard in pairs. A shard returns a spanning forest of its links, never all pairs; components of all
-links are then found on the whole graph.
+links are then found on the whole graph. Trees aren't broadcast: together they hold the fingerprints of all
+documents, which would have to pass through the driver; shards are shuffled instead.
 
 Nulls and edge cases: a null or empty text, or one of white space only, has fingerprint zero, linked like any
-other; a text with fewer words than a shingle is one shingle; documents with equal ids and texts are alike; a
-document whose id is null takes part, but a component is named by its smallest id that isn't null, and has none
+other; a text with fewer words than a shingle is one shingle; documents with equal ids and texts are alike; ids
+may be of any type that has an order; a document whose id is null takes part, but a component is named by its smallest id that isn't null, and has none
 if all are. Very long texts are hashed whole, a part of the shingles at a time. Columns other than those asked
 for are kept by `keep_one` and ignored by `near_duplicates`.
 
@@ -29,10 +30,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.components import components
 from . import linededup
-from .common import cut, maybe_in, ship, text_of
+from .common import cut, join_named, maybe_in, ship, text_of
 
 #: Shards above so many fingerprints are cut into chunks of half as many.
 LIMIT = 1024
@@ -84,7 +86,8 @@ def fingerprints(docs: DataFrame, shingle: int = 5) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
 
     ship(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fp long")
+    schema = T.StructType([docs.schema["doc_id"], T.StructField("fp", T.LongType())])
+    return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
 class Forest:
@@ -246,10 +249,12 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, radius: int = 4) -> DataF
     """doc_id, fp, component_id (the smallest doc_id reachable over links of fingerprints within the radius)."""
     prints = cut(fingerprints(docs, shingle))
     first = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    roots = components(links(first.select("fp"), radius)).withColumnRenamed("node", "fp")
-    named = first.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    names = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    return prints.join(named.join(names, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+    roots = cut(components(links(first.select("fp"), radius)).withColumnRenamed("node", "fp"))
+    linked = cut(first.join(roots, "fp"))  # a fingerprint without links is named by its own documents
+    names = linked.groupBy("root").agg(F.min("first").alias("component_id"))
+    named = join_named(linked, names, "root").select("fp", "component_id")
+    named = cut(named.union(first.join(roots, "fp", "left_anti").select("fp", F.col("first").alias("component_id"))))
+    return join_named(prints, named, "fp").select("doc_id", "fp", "component_id")
 
 
 def _bands(parts: list[np.ndarray]) -> np.ndarray:
