@@ -44,7 +44,7 @@ SLICE = 1 << 17
 #: MinHash of `similar_texts`: at similarity 0.8 twelve bands of four minima hold 99.8 % of the pairs.
 BANDS, ROWS = 12, 4
 #: A bucket of up to so many texts compares all pairs at once.
-ALL_PAIRS = 16
+ALL_PAIRS = 4
 _numbers = np.random.default_rng(42).integers(0, 1 << 64, (2, BANDS * ROWS), np.uint64)
 FLIPS, ODDS = list(_numbers[0]), list(_numbers[1] | np.uint64(1))
 
@@ -305,7 +305,8 @@ def _sets(docs: DataFrame, needed: DataFrame, shingle: int) -> DataFrame:
 
 
 def similar_texts(docs: DataFrame, shingle: int = 5, radius: int = 4, similarity: float = 0.8) -> DataFrame:
-    """a, b: links between texts (by hash) whose sets of word shingles have at least the Jaccard similarity.
+    """node, root: the components of texts (by hash) linked where their sets of word shingles have at least the Jaccard
+    similarity.
 
     Candidates are fingerprints within the radius, by BK-trees, and texts that share a MinHash bucket: at
     similarity 0.8 fingerprints differ in ten bits on average, where bit blocks select nothing."""
@@ -313,16 +314,16 @@ def similar_texts(docs: DataFrame, shingle: int = 5, radius: int = 4, similarity
     first = cut(every.groupBy("fp").agg(F.min("id").alias("first")))
     a, b = first.select(F.col("fp").alias("a"), F.col("first").alias("i")), first.select(F.col("fp").alias("b"), F.col("first").alias("j"))
     near = links(first.select("fp"), radius).distinct().join(a, "a").join(b, "b").select("i", "j")
-    near = near.union(every.join(first, "fp").select("id", "first")).toDF("i", "j").where("i != j")
+    near = near.union(join_named(every, first, "fp").select("id", "first")).toDF("i", "j").where("i != j")
     near = near.select(F.least("i", "j").alias("a"), F.greatest("i", "j").alias("b"))
     keyed = every.select("id", F.explode("buckets").alias("bucket")).select("bucket", "id")
-    return linededup.links_in_buckets(keyed, lambda needed: _sets(docs, needed, shingle), similarity, ALL_PAIRS, near)
+    return linededup.roots_in_buckets(keyed, lambda needed: _sets(docs, needed, shingle), similarity, ALL_PAIRS, near)
 
 
 def keep_one(docs: DataFrame, shingle: int = 5, radius: int = 4, similarity: float = 0.8) -> DataFrame:
     """One document of each component of similar texts, with the columns of ``docs``: that with the smallest id,
     then the smallest text hash; ids that are null come last. Rows with equal id and text are one document."""
-    roots = components(similar_texts(docs, shingle, radius, similarity)).withColumnRenamed("node", "text_id")
+    roots = similar_texts(docs, shingle, radius, similarity).withColumnRenamed("node", "text_id")
     text_id = F.xxhash64(text_of())
     named = docs.select("doc_id", text_id.alias("text_id")).distinct().join(roots, "text_id", "left")
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_id")
