@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..operators.shared import checkpoint_dir, cut, ship
 
 __all__ = [
-    "WHITE", "checkpoint_dir", "count_words", "cut", "join_named", "maybe_in", "numbered", "ship", "table", "text_of",
+    "WHITE", "checkpoint_dir", "count_words", "cut", "join_counted", "join_named", "maybe_in", "numbered", "ship", "table", "text_of",
     "unit_hash", "without", "words",
 ]
 
@@ -71,18 +71,28 @@ def maybe_in(df: DataFrame, key: str, keys: DataFrame, bits: int = 22) -> DataFr
 HOT = 1000
 
 
+def join_counted(left: DataFrame, right: DataFrame, key: str, count: str, how: str = "inner") -> DataFrame:
+    """left joined with right, which has one row for each key and in ``count`` about how many rows of left have it,
+    "inner" or "left". Rows of hot keys, of which there are fewer than HOT, are joined by broadcast where they are, so
+    none makes one task larger than the others. ``right`` is read several times and should be cut. Null keys match
+    nothing."""
+    total = right.agg(F.sum(count)).first()[0] or 0
+    hot = right.where(F.col(count) > max(total // HOT, 1000))
+    n_hot = hot.count()
+    if not n_hot:
+        return left.join(right, key, how)
+    near = left.join(F.broadcast(hot), key)
+    rest = left.join(F.broadcast(hot.select(key)), key, "left_anti").join(right, key, how)
+    return near.unionByName(rest)
+
+
 def join_named(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
-    """left joined with right, which has one row for each key, "inner" or "left". Rows of hot keys, of which there are
-    fewer than HOT, are joined by broadcast where they are, so none makes one task larger than the others. ``left`` is
-    read several times and should be cut. Null keys match nothing."""
-    counts = left.where(F.col(key).isNotNull()).groupBy(key).count()
-    total = left.count()
-    hot = cut(counts.where(F.col("count") > max(total // HOT, 1000)).select(key))
-    if hot.isEmpty():
+    """`join_counted` where nothing is known of the counts: left, which should be cut, is counted first."""
+    counts = cut(left.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("__n")).where("__n > 1000"))
+    if counts.isEmpty():
         return left.join(right, key, how)
-    few = F.broadcast(cut(right.join(F.broadcast(hot), key, "left_semi")))
-    hot = F.broadcast(hot)
-    return left.join(hot, key, "left_semi").join(few, key, how).unionByName(left.join(hot, key, "left_anti").join(right, key, how))
+    counted = cut(right.join(counts, key, "left").withColumn("__n", F.coalesce("__n", F.lit(1))))
+    return join_counted(left, counted, key, "__n", how).drop("__n")
 
 
 def numbered(rows: DataFrame, keys: list[str], out: str) -> DataFrame:

@@ -1,15 +1,17 @@
 """Quality rules with risk-controlled thresholds (native).
 
-Each rule rejects a document whose signal exceeds a cutoff. Labelled documents are split by a hash of their
-id: one half proposes a cutoff for each stratum and signal, the other half, the holdout, certifies it. A
-cutoff is certified if the hypothesis "this rule rejects more than its share of good documents" is refuted by
-the exact binomial tail. Cutoffs are tested from the loosest to the proposed one and testing stops at the first
-that isn't refuted (fixed-sequence testing); the level is divided by the number of strata and signals
-(Bonferroni). So with probability 1 - delta, no stratum loses more than ``risk`` of its good documents.
+A rule rejects a document whose signal exceeds a cutoff. Labelled documents are split by a hash of their id. One half
+proposes: for each stratum and signal the cutoff that gains most. The other half, the holdout, certifies: the
+proposals of a stratum act together, and the hypothesis "they reject more than ``risk`` of the good documents" has to be
+refuted by the exact binomial tail. Cutoffs are tested from the loosest on, all signals at once and none beyond its
+proposal, and testing stops at the first that isn't refuted (fixed-sequence testing, so one stratum is one test); the
+level is divided by the number of strata that propose anything, which the first half settles (Bonferroni). So with
+probability 1 - delta, no stratum loses more than ``risk`` of its good documents. With risk and delta of 5 % a stratum
+alone needs 59 good documents in the holdout, one of four 86, and none of them rejected.
 
 Nulls and edge cases: a null text has no words; a null language is a stratum of its own; labels without a
 quality are ignored, and of several labels for one document the worst counts; repeated documents are rated one
-by one; with no labels, or too few to certify anything, only the base rules reject. Other columns are kept.
+by one; a stratum without labels, or with too few to certify anything, knows the base rules only. Other columns are kept.
 """
 
 from __future__ import annotations
@@ -17,11 +19,13 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WHITE, cut, text_of, unit_hash, without, words
+from .common import WHITE, cut, join_named, text_of, unit_hash, without, words
 
 SYMBOLS = "#*$%&|<>"
 SHOUTS = "!ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -36,18 +40,19 @@ SIGNALS = {
 CUTOFFS = (1000, 700, 500, 400, 300, 200, 150, 100, 75, 50, 30, 20, 10, 5, 2)
 
 
+#: Up to so many labels or strata (about 50 bytes each) are broadcast; beyond it Spark joins by shuffling.
+MAX_BROADCAST = 200_000
+
+
 @dataclass(frozen=True)
 class Params:
     """risk: the share of good documents that the signals together may reject in a stratum; delta: the chance
     that this fails anywhere; weight: good documents lost count so many times a bad one caught when a cutoff is
-    proposed; max_labels: about so many labelled documents are used, chosen by hash; max_strata: the strata
-    with the most labels stand alone, the rest are pooled."""
+    proposed."""
 
     risk: float = 0.05
     delta: float = 0.05
     weight: int = 10
-    max_labels: int = 200_000
-    max_strata: int = 64
     cutoffs: tuple[int, ...] = field(default=CUTOFFS)
 
 
@@ -142,120 +147,78 @@ def binomial_tail(k: Column, n: Column, p: float) -> Column:
     return F.when(k > n * p, F.lit(1.0)).otherwise(total)
 
 
-def fit(docs: DataFrame, labels: DataFrame, params: Params | None = None) -> list[tuple[str, str, int]]:
-    """(stratum, signal, cutoff) for each certified rule; stratum "*" is the pool of the smaller strata.
+def known_labels(labels: DataFrame) -> DataFrame:
+    """doc_id and good, one row for each document with a label."""
+    rows = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
+    return cut(rows.groupBy("doc_id").agg((F.min("quality") > 0).alias("good")))
 
-    Only labelled documents are measured; the labels used are bounded by ``max_labels``, so they are broadcast
-    and no text is shuffled. The counts are one row per stratum, signal and grid interval.
-    """
-    params = params or Params()
-    known = (
-        labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
-        .groupBy("doc_id")
-        .agg(F.min("quality").alias("good"))
-    )
-    n_known = known.count()
-    if n_known > params.max_labels:
-        known = known.where(unit_hash(F.lit("labels"), F.col("doc_id")) < params.max_labels / n_known)
-    rated = measure(
-        docs.select("doc_id", "lang", "text").join(F.broadcast(known), "doc_id"), "m"
-    ).select(
-        _stratum("lang").alias("stratum"),
-        (unit_hash(F.lit("half"), F.col("doc_id")) < 0.5).alias("tune"),
-        (F.col("good") > 0).alias("good"),
-        F.explode(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(s).alias("signal"),
-                        sum((signal(F.col("m"), s) <= c).cast("int") for c in params.cutoffs).alias("step"),
-                    )
-                    for s in SIGNALS
-                ]
-            )
-        ).alias("x"),
-    )
-    # step: how many cutoffs, from the loosest, leave the document in; it is rejected by every later one.
-    counted = (
-        rated.groupBy("stratum", "x.signal", "x.step")
-        .agg(
-            F.count_if(F.col("tune") & F.col("good")).alias("tune_good"),
-            F.count_if(F.col("tune") & ~F.col("good")).alias("tune_bad"),
-            F.count_if(~F.col("tune") & F.col("good")).alias("hold_good"),
-        )
-    )
-    counted = cut(counted)  # one row per stratum, signal and interval; read by several aggregates
-    found = counted.transform(lambda d: _pool(d, params.max_strata)).transform(lambda d: _certify(d, params))
-    return [(r.stratum, r.signal, r.cutoff) for r in found.collect()]
-
-
-def _pool(counted: DataFrame, most: int) -> DataFrame:
-    sums = [F.sum(c).alias(c) for c in ("tune_good", "tune_bad", "hold_good")]
-    largest = (
-        counted.groupBy("stratum")
-        .agg(F.sum(F.col("tune_good") + F.col("hold_good")).alias("n"))
-        .orderBy(F.desc("n"), "stratum")
-        .limit(most)
-        .select("stratum", F.lit(True).alias("own"))
-    )
-    return (
-        counted.join(F.broadcast(largest), "stratum", "left")
-        .withColumn("stratum", F.when(F.col("own"), F.col("stratum")).otherwise("*"))
-        .groupBy("stratum", "signal", "step")
-        .agg(*sums)
-    )
 
+def fit(rated: DataFrame, params: Params | None = None) -> DataFrame:
+    """stratum and a cutoff for each signal (null: no rule), a row for each stratum with a certified rule, from labelled
+    documents: doc_id, lang, good and the measures m. Only counts leave the rows."""
+    p = params or Params()
+    last = len(p.cutoffs) - 1
 
-def _certify(counted: DataFrame, params: Params) -> DataFrame:
-    cutoff = F.get(F.array(*[F.lit(c) for c in params.cutoffs]), F.col("at")).alias("cutoff")
-    names = ("tune_good", "tune_bad", "hold_good")
-    # Rejected by the cutoff at place `at`: all whose step is at most `at`.
-    steps = counted.withColumn("at", F.explode(F.sequence(F.lit(0), F.lit(len(params.cutoffs) - 1))))
-    rows = steps.groupBy("stratum", "signal", "at").agg(
-        *[F.sum(F.when(F.col("step") <= F.col("at"), F.col(c)).otherwise(0)).alias(c) for c in names],
-        F.sum("hold_good").alias("n"),
-    )
-    strata = counted.select(F.count_distinct("stratum").alias("strata"))
-    rows = rows.crossJoin(F.broadcast(strata))  # one row of one number
-    gain = F.col("tune_bad") - params.weight * F.col("tune_good")
-    level = params.delta / len(SIGNALS) / F.col("strata")
-    tail = binomial_tail(F.col("hold_good"), F.col("n"), params.risk / len(SIGNALS))
-    passed = rows.select("stratum", "signal", "at", gain.alias("gain"), (tail <= level).alias("ok"))
-    best = passed.groupBy("stratum", "signal").agg(
-        F.max_by("at", F.struct(F.col("gain"), -F.col("at"))).alias("wanted"),
-        F.max("gain").alias("most"),
-        F.coalesce(F.min(F.when(~F.col("ok"), F.col("at"))), F.lit(len(params.cutoffs))).alias("stopped"),
-    )
-    best = best.where(F.col("most") > 0).select(
-        "stratum", "signal", F.least(F.col("wanted"), F.col("stopped") - 1).alias("at")
-    )
-    return best.where("at >= 0").select("stratum", "signal", cutoff)
-
-
-def rejected(m: Column, lang: str, cutoffs: list[tuple[str, str, int]]) -> Column:
-    """True where a certified rule rejects; the rules are a bounded list, so they stand in the expression."""
-    out = F.lit(False)
-    for s in SIGNALS:
-        own = {stratum: cutoff for stratum, name, cutoff in cutoffs if name == s}
-        if not own:
-            continue
-        limit = F.lit(own.pop("*", None)).cast("int")
-        for stratum, cutoff in own.items():
-            limit = F.when(_stratum(lang) == stratum, F.lit(cutoff)).otherwise(limit)
-        out = out | F.coalesce(signal(m, s) > limit, F.lit(False))
-    return out
-
-
-def rate(docs: DataFrame, labels: DataFrame, params: Params | None = None, out: str = "measures") -> DataFrame:
-    """The documents with the struct ``out`` of measures, and in it base_failed and kept."""
-    cutoffs = fit(docs, labels, params)
-    rated = measure(docs, out)
-    m = F.col(out)
-    return rated.withColumn(out, m.withField("base_failed", base_failed(m))).withColumn(
-        out, m.withField("kept", ~m["base_failed"] & ~rejected(m, "lang", cutoffs))
+    def step(s: str) -> Column:
+        """How many cutoffs, from the loosest, leave the document in; it is rejected by every later one."""
+        return sum(((signal(F.col("m"), s) <= c).cast("int") for c in p.cutoffs), F.lit(0))
+
+    rows = cut(
+        rated.select(
+            _stratum("lang").alias("stratum"), "good", (unit_hash(F.lit("half"), F.col("doc_id")) < 0.5).alias("tune"), F.struct(*[step(s).alias(s) for s in SIGNALS]).alias("step")
+        )
     )
+    each = F.explode(F.array(*[F.struct(F.lit(s).alias("signal"), F.col(f"step.{s}").alias("step")) for s in SIGNALS]))
+    tuned = rows.where("tune").select("stratum", "good", each.alias("x")).groupBy("stratum", "x.signal", "x.step")
+    tuned = tuned.agg(F.sum(F.when(F.col("good"), -p.weight).otherwise(1)).alias("gain"))
+    # What a cutoff rejects: all whose step is at most its place.
+    gains = tuned.withColumn("at", F.explode(F.sequence(F.lit(0), F.lit(last)))).where("step <= at").groupBy("stratum", "signal", "at").agg(F.sum("gain").alias("gain"))
+    best = gains.groupBy("stratum", "signal").agg(F.max_by("at", F.struct(F.col("gain"), -F.col("at"))).alias("at"), F.max("gain").alias("gain"))
+    one = [F.max(F.when(F.col("signal") == s, F.col("at"))).alias(f"at_{s}") for s in SIGNALS]
+    proposed = cut(best.where("gain > 0").groupBy("stratum").agg(*one))
+    n_strata = proposed.count()
+    held = join_named(rows.where("good AND NOT tune"), _few(proposed), "stratum")
+    # Together the signals reject a document from the first place on that one of them does, within its proposal.
+    first = F.array_min(F.array(*[F.when(F.col(f"step.{s}") <= F.col(f"at_{s}"), F.col(f"step.{s}")) for s in SIGNALS]))
+    counts = cut(held.groupBy("stratum", first.alias("first")).agg(F.count("*").alias("n")))
+    places = counts.withColumn("at", F.explode(F.sequence(F.lit(0), F.lit(last))))
+    places = places.groupBy("stratum", "at").agg(F.sum("n").alias("n"), F.coalesce(F.sum(F.when(F.col("first") <= F.col("at"), F.col("n"))), F.lit(0)).alias("k"))
+    refuted = binomial_tail(F.col("k"), F.col("n"), p.risk) <= p.delta / max(n_strata, 1)
+    passed = places.withColumn("ok", refuted).groupBy("stratum").agg(F.coalesce(F.min(F.when(~F.col("ok"), F.col("at"))), F.lit(last + 1)).alias("stopped"))
+    grid = F.array(*[F.lit(c) for c in p.cutoffs])
+    cutoffs = [F.get(grid, F.least(F.col(f"at_{s}"), F.col("stopped") - 1)).alias(s) for s in SIGNALS]
+    # F.least skips nulls; a signal that proposed nothing has no rule.
+    cutoffs = [F.when(F.col(f"at_{s}").isNotNull(), c).alias(s) for s, c in zip(SIGNALS, cutoffs)]
+    return cut(proposed.join(passed.where("stopped > 0"), "stratum").select("stratum", *cutoffs))
+
+
+def _few(df: DataFrame) -> DataFrame:
+    """Marked for broadcast if the rows, which are cut, are few."""
+    return F.broadcast(df) if df.count() <= MAX_BROADCAST else df
+
+
+def judge(rated: DataFrame, rules: DataFrame, m: str) -> DataFrame:
+    """Adds base_failed and kept to the struct ``m`` of measures. Rows without a rule for their stratum stay."""
+    found = rules.select(F.col("stratum").alias("__stratum"), F.struct(*SIGNALS).alias("__most"))
+    joined = rated.join(_few(found), _stratum("lang") == F.col("__stratum"), "left")
+    c = F.col(m)
+    over = [F.coalesce(signal(c, s) > F.col(f"__most.{s}"), F.lit(False)) for s in SIGNALS]
+    out = c.withField("base_failed", base_failed(c)).withField("kept", ~base_failed(c) & ~reduce(or_, over))
+    return joined.withColumn(m, out).drop("__stratum", "__most")
+
+
+def rate(docs: DataFrame, labels: DataFrame, params: Params | None = None) -> DataFrame:
+    """doc_id, lang and the struct measures, with base_failed and kept in it, of every document. Each text is measured
+    once, and only its measures are shuffled to meet the labels."""
+    measured = cut(measure(docs.select("doc_id", "lang", "text"), "measures").select("doc_id", "lang", "measures"))
+    known = measured.withColumnRenamed("measures", "m").join(_few(known_labels(labels)), "doc_id")
+    return judge(measured, fit(known, params), "measures")
 
 
 def keep(docs: DataFrame, labels: DataFrame, params: Params | None = None) -> DataFrame:
-    """The documents that the rules keep, with their own columns only."""
-    return rate(docs, labels, params, "__measures").where("__measures.kept").drop("__measures")
+    """The documents that the rules keep, with their own columns only. Labelled texts are measured twice; they are
+    shuffled if there are too many labels to broadcast."""
+    known = docs.select("doc_id", "lang", "text").join(_few(known_labels(labels)), "doc_id")
+    rules = fit(measure(known, "m").select("doc_id", "lang", "good", "m"), params)
+    judged = judge(measure(docs, "__measures"), rules, "__measures")
+    return judged.where("__measures.kept").select(*[F.col(f"`{c}`") for c in docs.columns])

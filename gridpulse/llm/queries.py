@@ -167,23 +167,22 @@ rated AS (SELECT *, coalesce(c, 0) AS word_chars, n_words < 10 OR 100 * n_repeat
 
 
 def _op1_sql(p: quality.Params = quality.Params()) -> str:
-    """Up to max_labels labels and max_strata strata, which the test tables keep to."""
-    n = len(quality.SIGNALS)
     cutoffs = ", ".join(f"({i}, {c})" for i, c in enumerate(p.cutoffs))
     values = " UNION ALL ".join(f"SELECT rid, doc_id, stratum, '{s}' AS signal, {s} AS v FROM rated" for s in quality.SIGNALS)
-    r = p.risk / n
+    r = p.risk
     return f"""WITH {_op1_measures()},
 vals AS ({values}),
 grid(pos, cutoff) AS (VALUES {cutoffs}),
 known AS (SELECT doc_id, min(quality) > 0 AS good, {_unit("'half'", "doc_id")} < 0.5 AS tune FROM labels WHERE quality IS NOT NULL GROUP BY doc_id),
-counts AS (SELECT stratum, signal, pos, cutoff, count(*) FILTER (v > cutoff AND good AND tune) AS tg, count(*) FILTER (v > cutoff AND NOT good AND tune) AS tb,
-  count(*) FILTER (v > cutoff AND good AND NOT tune) AS k, count(*) FILTER (good AND NOT tune) AS n
-  FROM vals JOIN known USING (doc_id) CROSS JOIN grid GROUP BY ALL),
-tails AS (SELECT *, tb - {p.weight} * tg AS gain, CASE WHEN k > n * {r} THEN 1.0 ELSE list_sum(list_transform(range(0, k + 1),
-  lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({r}) + (n - i) * ln(1 - {r})))) END AS p FROM counts),
-best AS (SELECT stratum, signal, arg_max(pos, gain * 100 - pos) AS wanted, max(gain) AS most,
-  coalesce(min(pos) FILTER (p > {p.delta} / {n} / (SELECT count(DISTINCT stratum) FROM counts)), {len(p.cutoffs)}) AS stopped FROM tails GROUP BY ALL),
-rules AS (SELECT stratum, signal, cutoff AS most FROM best JOIN grid ON pos = least(wanted, stopped - 1) WHERE best.most > 0),
+gains AS (SELECT stratum, signal, pos, sum(CASE WHEN good THEN -{p.weight} ELSE 1 END) AS gain FROM vals JOIN known USING (doc_id) JOIN grid ON v > cutoff WHERE tune GROUP BY ALL),
+props AS (SELECT stratum, signal, arg_max(pos, gain * 100 - pos) AS prop FROM gains GROUP BY ALL HAVING max(gain) > 0),
+joint AS (SELECT stratum, g.pos, rid, bool_or(v > c.cutoff) AS gone FROM vals JOIN known USING (doc_id) JOIN props USING (stratum, signal)
+  CROSS JOIN grid g JOIN grid c ON c.pos = least(g.pos, prop) WHERE good AND NOT tune GROUP BY ALL),
+ks AS (SELECT stratum, pos, count(*) FILTER (gone) AS k, count(*) AS n FROM joint GROUP BY ALL),
+tails AS (SELECT *, CASE WHEN k > n * {r} THEN 1.0 ELSE list_sum(list_transform(range(0, k + 1),
+  lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({r}) + (n - i) * ln(1 - {r})))) END AS p FROM ks),
+ends AS (SELECT stratum, coalesce(min(pos) FILTER (p > {p.delta} / (SELECT count(DISTINCT stratum) FROM props)), {len(p.cutoffs)}) AS stopped FROM tails GROUP BY ALL),
+rules AS (SELECT stratum, signal, cutoff AS most FROM props JOIN ends USING (stratum) JOIN grid ON pos = least(prop, stopped - 1)),
 bad AS (SELECT DISTINCT rid FROM vals JOIN rules USING (stratum, signal) WHERE v > rules.most)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND rid NOT IN (SELECT rid FROM bad) AS kept FROM rated"""

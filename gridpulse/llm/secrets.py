@@ -1,13 +1,16 @@
 """Secret scans: a random forest that removes false positives (native).
 
-Candidates are long runs of key characters with a digit, every one of a word. Each has features of its length, its character
-transitions, how much of it a dictionary of the corpus covers, its path (the source and the separators in it)
-and the words around it, to which belongs what stands before it in its own word. A forest trained on labelled findings scores every candidate of the corpus.
+Candidates are long runs of key characters with a digit, every one of a word. Each has features of its length, its
+character transitions, how much of it a dictionary of the corpus covers, its path (the source and the separators in it)
+and the words around it, to which belongs what stands before it in its own word. A forest trained on labelled findings
+scores every candidate of the corpus. Documents are dealt into folds by a hash of their id, and a fold is scored by a
+forest that has seen none of its documents, so a score is never the memory of a label.
 
 Nulls and edge cases: a null or empty text has no candidates; a null source is one of its own; long texts are
-scanned whole; a text may hold a candidate several times, a row for each; if the findings have labels of one kind
-only there is nothing to learn, and every candidate gets their share of secrets as its score; without findings
-the score is null and every candidate is kept. Columns other than doc_id, text and source are ignored.
+scanned whole; a text may hold a candidate several times, a row for each; documents with a null id are a fold's like
+others; if the findings of the other folds have labels of one kind only there is nothing to learn, and a candidate
+gets their share of secrets as its score; without findings the score is null and every candidate is kept. Columns other
+than doc_id, text and source are ignored.
 """
 
 from __future__ import annotations
@@ -34,6 +37,7 @@ class Params:
     """max_findings: about so many labelled findings train the forest, chosen by hash; min_count: a word is in
     the dictionary if the corpus has it so often."""
 
+    folds: int = 2
     trees: int = 40
     depth: int = 6
     buckets: int = 64
@@ -46,7 +50,7 @@ class Params:
 
 def candidates(docs: DataFrame) -> DataFrame:
     """doc_id, source, word (its place among the words), place (among the word's runs), candidate, before2, before,
-    after."""
+    after, quoted (a quote is right before it)."""
     t = text_of()
     w = docs.where(t.rlike(KEY)).select("doc_id", "source", words(t).alias("w"))
     word = F.col("w")
@@ -84,6 +88,7 @@ def candidates(docs: DataFrame) -> DataFrame:
         F.when(n == 0, F.col("c.left2")).when(n == 1, F.col("c.left")).otherwise(F.get("inner", n - 2)).alias("before2"),
         F.when(n == 0, F.col("c.left")).otherwise(last).alias("before"),
         F.col("c.after").alias("after"),
+        F.col("r.gaps").rlike("[\"'`]$").alias("quoted"),
     )
 
 
@@ -127,9 +132,9 @@ def features(found: DataFrame, grams: DataFrame, params: Params) -> DataFrame:
         _count(c, r"[/_\-+=]").cast("double").alias("separators"),
     )
     mark = lambda name, value: F.concat(F.lit(name), F.coalesce(value, F.lit("")))
-    tokens = F.array(
-        mark("path:", F.col("source")), mark("b2:", F.col("before2")), mark("b1:", F.col("before")), mark("a1:", F.col("after"))
-    )
+    # Words only: the signs between a name and a candidate are left to `reviewed`.
+    said = lambda name: F.when(F.col(name).rlike(r"\p{L}"), F.col(name))
+    tokens = F.array(mark("path:", F.col("source")), mark("b:", F.coalesce(said("before"), said("before2"))), mark("a:", said("after")))
     return found.join(shape, "candidate").withColumn("tokens", tokens)
 
 
@@ -160,23 +165,30 @@ def scan(docs: DataFrame, findings: DataFrame | None = None, params: Params | No
     """
     p = params or Params()
     found = cut(candidates(docs))
-    rated = cut(features(found, dictionary(docs, p), p))
+    rated = features(found, dictionary(docs, p), p)
+    rated = cut(rated.withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit(p.seed)), F.lit(p.folds)).cast("int")))
     findings = reviewed(rated) if findings is None else findings
     key = [c for c in ("doc_id", "word", "place") if c in findings.columns]
     labels = findings.groupBy(*key).agg(F.max("label").cast("double").alias("label"))
-    model = train(rated.join(labels, key), p)
-    if isinstance(model, PipelineModel):
-        scored = model.transform(rated).withColumn("score", F.get(vector_to_array("probability"), F.lit(1)))
-    else:
-        scored = rated.withColumn("score", F.lit(model).cast("double"))
-    secret = F.coalesce(F.col("score") >= p.threshold, F.lit(True))
-    return scored.select("doc_id", "word", "place", "candidate", "score", secret.alias("secret"))
+    labelled = cut(rated.join(labels, key))
+    out = None
+    for fold in range(p.folds):
+        own = rated.where(F.col("fold") == fold)
+        model = train(labelled.where(F.col("fold") != fold), p)
+        if isinstance(model, PipelineModel):
+            scored = model.transform(own).withColumn("score", F.get(vector_to_array("probability"), F.lit(1)))
+        else:
+            scored = own.withColumn("score", F.lit(model).cast("double"))
+        secret = F.coalesce(F.col("score") >= p.threshold, F.lit(True))
+        scored = scored.select("doc_id", "word", "place", "candidate", "score", secret.alias("secret"))
+        out = scored if out is None else out.union(scored)
+    return out
 
 
 def reviewed(found: DataFrame) -> DataFrame:
-    """Labels for candidates whose surroundings settle what they are: an assignment to a name for secrets, or a
-    plain number. The others have none."""
-    named = F.col("before2").rlike("token|secret|passw|api.?key|credential") & F.col("before").isin("=", ":", ":=")
+    """Labels from the signs around a candidate, which the forest doesn't see: assigned and quoted is a secret, neither
+    and a plain number is none. The others have no label."""
+    assigned = F.coalesce(F.col("before").isin("=", ":", ":=", "=>"), F.lit(False))
     number = F.col("candidate").rlike("^[0-9]+$")
-    label = F.when(named & ~number, 1).when(number & ~named, 0)
+    label = F.when(assigned & F.col("quoted"), 1).when(number & ~assigned & ~F.col("quoted"), 0)
     return found.select("doc_id", "word", "place", label.alias("label")).where("label is not null")

@@ -1,3 +1,4 @@
+import math
 import random
 
 import numpy as np
@@ -9,10 +10,10 @@ from gridpulse.llm import mtree
 
 def brute(rows, queries, k):
     out = []
-    for q, v in rows:
+    for at, (q, v) in enumerate(rows):
         if queries(q):
-            scored = sorted((-sum(int(a) * int(b) for a, b in zip(v, w)), i) for i, w in rows if i != q and len(w) == len(v))
-            out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scored[:k])]
+            scored = sorted((-sum(int(a) * int(b) for a, b in zip(v, w)), i) for j, (i, w) in enumerate(rows) if j != at and len(w) == len(v))
+            out += [(q, n + 1, i, min(max(-s, -(1 << 63)), (1 << 63) - 1)) for n, (s, i) in enumerate(scored[:k])]
     return sorted(out)
 
 
@@ -32,11 +33,12 @@ def test_trees_by_brute_force(spark, monkeypatch, kind):
 def test_search_opens_few_pages():
     rnd = np.random.default_rng(0)
     x = np.concatenate([rnd.integers(0, 20, (400, 3)) + c for c in ((0, 0, 0), (5000, 0, 0), (0, 5000, 0), (0, 0, 5000))]).astype(float)
-    tree = mtree.Tree(np.arange(len(x)), x)
+    tree = mtree.Tree(np.arange(len(x)), np.arange(len(x)), x)
     seen = []
     pages = tree.pages
     tree.pages = type("Pages", (list,), {"__getitem__": lambda s, i: seen.append(i) or list.__getitem__(s, i)})(pages)
-    tree.search(-1, x[450], 3)
+    place, score, ids = tree.search(np.array([450]), x[450:451], 3, np.array([mtree.LEAST]))
+    assert [tuple(t) for t in zip(place, ids, score)] == [(0, i, s) for _, _, i, s in brute(list(enumerate(x.tolist())), lambda i: i == 450, 3)]
     assert len(set(seen)) < len(pages) / 2
 
 
@@ -47,7 +49,7 @@ def test_odd_rows_and_empty_tables(spark):
     q = df.select("vec_id", mtree.quantised(F.col("embedding")).alias("v"))
     assert {r.vec_id: r.v and list(r.v) for r in q.collect() if r.vec_id in (6, 3, 1)} == {6: [-1.0, 2048.0], 3: None, 1: None}
     got = sorted(tuple(r) for r in mtree.top_k(q, F.col("vec_id") % 100 == 0).collect())
-    good = [(0, [1024.0, 512.0]), (6, [-1.0, 2048.0]), (7, [1024.0]), (100, [0.0, 1024.0])]
+    good = [(0, [1024.0, 512.0]), (0, [1024.0, 512.0]), (6, [-1.0, 2048.0]), (7, [1024.0]), (100, [0.0, 1024.0])]
     assert got == brute(good, lambda i: i % 100 == 0, 10)
     assert mtree.top_k(q.limit(0), F.col("vec_id") % 100 == 0).count() == 0
 
@@ -58,3 +60,34 @@ def test_large_whole_numbers_are_exact(spark):
     df = spark.createDataFrame(rows, "vec_id long, v array<double>")
     got = sorted(tuple(r) for r in mtree.top_k(df, F.col("vec_id") < 3, 4).collect())
     assert got == brute(rows, lambda i: i < 3, 4)
+
+
+def test_components_are_floored_and_scores_stay_in_range(spark):
+    values = [-1e-20, 1e-20, -0.5, 0.99999999, 1e15 + 0.5, -1e300]
+    df = spark.createDataFrame([(values,)], "e array<double>").select(mtree.quantised(F.col("e")).alias("v"))
+    assert list(df.first().v) == [float(math.floor(1024 * x)) for x in values]
+    rows = [(100, [1e30, 1.0]), (1, [1e30, 5.0]), (2, [-1e30, 7.0]), (3, [1e200, 1e200]), (4, [3.0, 4.0])]
+    df = spark.createDataFrame(rows, "vec_id long, v array<double>")
+    assert sorted(tuple(r) for r in mtree.top_k(df, F.col("vec_id") == 100).collect()) == brute(rows, lambda i: i == 100, 10)
+
+
+def test_rows_that_share_an_id_are_candidates_of_their_own(spark):
+    rows = [(1, [9.0]), (1, [1.0]), (2, [5.0]), (100, [1.0]), (100, [2.0])]
+    got = sorted(tuple(r) for r in mtree.top_k(spark.createDataFrame(rows, "vec_id long, v array<double>"), F.col("vec_id") == 100).collect())
+    assert got == brute(rows, lambda i: i == 100, 10)
+
+
+def test_far_trees_are_not_walked(spark, monkeypatch):
+    """Clusters far apart: a query's best are in its own, whose trees bound all others away."""
+    monkeypatch.setattr(mtree, "TREE", 100)
+    met = []
+    plain = mtree._meet
+    monkeypatch.setattr(mtree, "_meet", lambda trees, asked, blocks, k: met.append((trees.count(), asked.count())) or plain(trees, asked, blocks, k))
+    rnd = np.random.default_rng(3)
+    centres = 3000 * np.eye(8)
+    rows = [(i, [float(x) for x in centres[i % 8] + rnd.integers(-20, 20, 8)]) for i in range(2400)]
+    df = spark.createDataFrame(rows, "vec_id long, v array<double>")
+    got = sorted(tuple(r) for r in mtree.top_k(df, F.col("vec_id") % 100 == 0, 5).collect())
+    assert got == brute(rows, lambda i: i % 100 == 0, 5)
+    (trees, queries), (_, later) = met
+    assert queries == 24 and later < 0.5 * queries * (trees - 1)

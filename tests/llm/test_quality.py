@@ -55,11 +55,53 @@ def test_certified_rules_hold_the_risk_and_need_enough_labels(spark):
     labels = docs.select("doc_id", (F.col("doc_id") % 4 != 0).cast("int").alias("quality"))
     kept = {r.doc_id for r in quality.keep(docs, labels).collect()}
     assert kept == {i for i, *_ in rows if i % 4}
-    assert quality.fit(docs, labels.where("doc_id < 300")) == []
+    assert fitted(docs, labels.where("doc_id < 60")) == []
+
+
+def fitted(docs, labels):
+    known = quality.measure(docs.join(quality.known_labels(labels), "doc_id"), "m").select("doc_id", "lang", "good", "m")
+    return quality.fit(known).collect()
 
 
 def test_rules_that_would_reject_good_documents_are_not_certified(spark):
     rows = [(i, "## words of good and of bad documents alike are here to be read " + str(i), "en") for i in range(4000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     labels = docs.select("doc_id", (F.col("doc_id") % 4 != 0).cast("int").alias("quality"))
-    assert quality.fit(docs, labels) == []
+    assert fitted(docs, labels) == []
+
+
+def test_a_stratum_stands_alone(spark, monkeypatch):
+    """A hundred strata; one has enough labels, one too few, one a signal that good documents share, one no label."""
+    plain = "plain words that say something of interest to every reader number{} again"
+    junk = plain + " ### $$$ &&& %%% |||"
+    rows = []
+    for stratum, n in (("many", 4000), ("few", 60), ("shared", 4000), ("none", 100), *((f"x{i}", 4) for i in range(96))):
+        rows += [(len(rows), (junk if i % 4 == 0 or stratum == "shared" else plain).format(i), stratum, i % 4 != 0) for i in range(n)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, good boolean")
+    labels = docs.where("lang != 'none'").select("doc_id", F.col("good").cast("int").alias("quality"))
+    for most in (quality.MAX_BROADCAST, 0):
+        monkeypatch.setattr(quality, "MAX_BROADCAST", most)
+        kept = {r.doc_id for r in quality.keep(docs.drop("good"), labels).collect()}
+        assert kept == {i for i, _, stratum, good in rows if good or stratum != "many"}
+        assert kept == {r.doc_id for r in quality.rate(docs, labels).where("measures.kept").collect()}
+
+
+def test_the_share_of_good_documents_lost_stays_below_the_risk(spark):
+    """Good and bad documents overlap in a signal; the share lost is told from documents that had no label."""
+    rnd = random.Random(6)
+    rows = []
+    for i in range(12000):
+        good = i % 3 > 0
+        signs = rnd.choices(range(12), [40] + [1] * 11 if good else [1] * 12)[0]
+        rows.append((i, f"plain words that say something of interest to every reader number{i} again " + "# " * signs, "en", good))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, good boolean")
+    labels = docs.where("doc_id < 6000").select("doc_id", F.col("good").cast("int").alias("quality"))
+    lost = quality.rate(docs, labels, quality.Params(weight=1)).join(docs.select("doc_id", "good"), "doc_id").where("doc_id >= 6000 AND NOT measures.kept")
+    good, bad = (lost.where(c).count() for c in ("good", "NOT good"))
+    assert good <= 0.05 * 4000 and bad > 200
+
+
+def test_the_given_tables_certify_a_rule(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    assert [r.stratum for r in fitted(docs, labels)] == ["=en"]
+    assert quality.rate(docs, labels).where("NOT measures.kept AND NOT measures.base_failed").count() > 0
