@@ -17,7 +17,8 @@ only if it may hold a smaller id.
 Nulls and edge cases: rows without an id, and vectors that are null, empty or hold null or non-finite components,
 take no part; rows are told apart even if they share an id: each is a candidate, and each that is asked for has an answer
 of its own; vectors of another length than the query's are not its candidates; a tie between rows of one id is open; equal vectors fill pages like any others;
-an empty table gives an empty result; scores outside 64 bits become the least or greatest long. Other columns are ignored.
+an empty table gives an empty result; scores outside 64 bits become the
+least or greatest long, and rank as such. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -116,7 +117,7 @@ class Tree:
         best = tuple(np.empty(0, np.int64) for _ in range(3))
 
         def may(i: np.ndarray, b: np.ndarray, least: np.ndarray) -> np.ndarray:
-            b = np.floor(b)
+            b = np.clip(np.floor(b), LEAST, GREATEST)
             return (b > lowest[i]) | (b == lowest[i]) & (least <= last[i])
 
         start = np.arange(m)
@@ -248,7 +249,7 @@ def _others(pivots: dict[int, np.ndarray], meta: dict[int, np.ndarray]) -> Calla
                 d, low, high, square = far[cell], trees[:, 2], trees[:, 3], trees[:, 4]
                 norm = float(q @ q)
                 b = _bound(norm, np.maximum(d - high, low - d), square, (p @ q)[cell] + np.sqrt(norm) * high)
-                go = np.floor(b) >= floor
+                go = np.clip(np.floor(b), LEAST, GREATEST) >= floor
                 go &= (cell != batch.column("cell")[i].as_py()) | (trees[:, 1] != batch.column("part")[i].as_py())
                 n = int(go.sum())
                 if n:

@@ -12,8 +12,9 @@ def brute(rows, queries, k):
     out = []
     for at, (q, v) in enumerate(rows):
         if queries(q):
-            scored = sorted((-sum(int(a) * int(b) for a, b in zip(v, w)), i) for j, (i, w) in enumerate(rows) if j != at and len(w) == len(v))
-            out += [(q, n + 1, i, min(max(-s, -(1 << 63)), (1 << 63) - 1)) for n, (s, i) in enumerate(scored[:k])]
+            inside = lambda s: min(max(s, -(1 << 63)), (1 << 63) - 1)
+            scored = sorted((-inside(sum(int(a) * int(b) for a, b in zip(v, w))), i) for j, (i, w) in enumerate(rows) if j != at and len(w) == len(v))
+            out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scored[:k])]
     return sorted(out)
 
 
