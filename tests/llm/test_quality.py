@@ -92,7 +92,7 @@ def test_the_share_of_good_documents_lost_stays_below_the_risk(spark):
     rows = []
     for i in range(12000):
         good = i % 3 > 0
-        signs = rnd.choices(range(12), [40] + [1] * 11 if good else [1] * 12)[0]
+        signs = rnd.choices(range(12), [100] + [1] * 11 if good else [1] * 12)[0]
         rows.append((i, f"plain words that say something of interest to every reader number{i} again " + " ".join(f"#{c}" for c in "abcdefghijkl"[:signs]), "en", good))
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, good boolean")
     labels = docs.where("doc_id < 6000").select("doc_id", F.col("good").cast("int").alias("quality"))
