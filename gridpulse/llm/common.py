@@ -47,10 +47,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def maybe_in(df: DataFrame, key: str, keys: DataFrame, bits: int = 22) -> DataFrame:
-    """The rows of ``df`` whose key, a 64-bit hash, may be among those of ``keys``: all that are, and few others
-    while there are far fewer keys than 2^bits. Used before a shuffle that an exact join ends. The keys become a
-    bitmap of 2^bits bits, whatever their number, which reaches the tasks as the value of a scalar subquery."""
+def maybe_in(df: DataFrame, key: str, keys: DataFrame, bits: int | None = None) -> DataFrame:
+    """The rows of ``df`` whose key, a 64-bit hash, may be among those of ``keys``, which are cut: all that are, and few
+    others. Used before a shuffle that an exact join ends. The keys become a bitmap of 2^bits bits, about sixteen
+    for each key but at most 2^25 (4 MB), which reaches the tasks as the value of a scalar subquery; beyond that many
+    keys it would let too much pass and all rows are left to the join."""
+    if bits is None:
+        bits = max(10, (16 * keys.count() - 1).bit_length())
+        if bits > 25 + 3:
+            return df
+    bits = min(bits, 25)
     n = 1 << (bits - 6)
 
     def place(c: Column) -> Column:
@@ -61,7 +67,7 @@ def maybe_in(df: DataFrame, key: str, keys: DataFrame, bits: int = 22) -> DataFr
 
     k = keys.columns[0]
     held = keys.groupBy(place(F.col(k)).alias("id")).agg(F.bit_or(bit(F.col(k))).alias("bits"))
-    every = df.sparkSession.range(0, n, 1, 1).join(held, "id", "left")
+    every = df.sparkSession.range(0, n, 1, 1).join(F.broadcast(held), "id", "left")  # at most n rows of 16 bytes
     word = F.struct("id", F.coalesce("bits", F.lit(0).cast("long")).alias("bits"))
     bitmap = cut(every.agg(F.transform(F.sort_array(F.collect_list(word)), lambda w: w["bits"]).alias("bitmap")))
     return df.where(F.get(bitmap.scalar(), place(F.col(key)).cast("int")).bitwiseAND(bit(F.col(key))) != 0)
