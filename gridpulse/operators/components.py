@@ -12,28 +12,36 @@ def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
 
+def _round(edges: DataFrame) -> DataFrame:
+    """A large star (each node's larger neighbours go to its smallest neighbour or itself) and a small star (each
+    node's smaller neighbours go to the smallest); both keep the components."""
+    both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    low = both.groupBy("a").agg(F.min("b").alias("m"))
+    large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.least("a", "m").alias("b"))
+    low = large.groupBy("a").agg(F.min("b").alias("m"))
+    small = large.join(low, "a").select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"))
+    return cut(small.where("a != b").distinct())
+
+
+def contracted(edges: DataFrame, rounds: int) -> DataFrame:
+    """Edges a > b with the same components, brought closer to their smallest nodes by some rounds."""
+    edges = cut(edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    for _ in range(rounds):
+        edges = _round(edges)
+    return edges
+
+
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """node, root for every node with an edge; ``edges`` has columns a and b of one orderable type.
 
-    Each round is a large star (each node's larger neighbours go to its smallest neighbour or itself) and a small
-    star (each node's smaller neighbours go to the smallest), until nothing changes; both keep the components
-    (Kiveris et al. 2014). Minima are aggregated before they are shuffled and each round is written to the
-    checkpoint folder, so no node's neighbourhood is ever gathered in one task. Null nodes and loops are ignored.
+    Rounds of alternating stars follow until nothing changes (Kiveris et al. 2014). Minima are aggregated before they
+    are shuffled and each round is written to the checkpoint folder, so no node's neighbourhood is ever gathered in one
+    task. Null nodes and loops are ignored.
     """
-    edges = cut(edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    edges = contracted(edges, 0)
     state = _state(edges)
     for _ in range(rounds):
-        both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m"))
-        large = (
-            both.join(low, "a")
-            .where("b > a")
-            .select(F.col("b").alias("a"), F.least("a", "m").alias("b"))
-            .distinct()
-        )
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(low, "a").select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"))
-        edges = cut(small.where("a != b").distinct())
+        edges = _round(edges)
         state, before = _state(edges), state
         if state == before:
             break

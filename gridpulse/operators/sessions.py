@@ -15,25 +15,25 @@ def seconds(c: Column) -> Column:
     return F.unix_micros(c) / 1e6
 
 
-def running_number(df: DataFrame, starts: Column, time: str, tie: str, bucket: str = "hour") -> DataFrame:
-    """Adds ``number``: how many rows up to this one, in order of (time, tie), are starts. Rows are summed within
-    time buckets; only the table of buckets, a row for each, is summed without a key."""
+def running_number(df: DataFrame, starts: Column, time: str, tie: str, bucket: str = "hour", keys: Sequence[str] = ()) -> DataFrame:
+    """Adds ``number``: how many rows of the same keys up to this one, in order of (time, tie), are starts. Rows are
+    summed within time buckets; only the table of buckets, a row for each, is summed over all of a key's time."""
     df = df.withColumn("__b", F.date_trunc(bucket, time)).withColumn("__s", starts.cast("long"))
-    sums = df.groupBy("__b").agg(F.sum("__s").alias("__n"))
-    sums = sums.select("__b", (F.sum("__n").over(W.orderBy("__b")) - F.col("__n")).alias("__before"))
-    inner = F.sum("__s").over(W.partitionBy("__b").orderBy(time, tie).rowsBetween(W.unboundedPreceding, 0))
-    return df.withColumn("__i", inner).join(sums, "__b").withColumn("number", F.col("__before") + F.col("__i")).drop("__b", "__s", "__i", "__before")
+    sums = df.groupBy(*keys, "__b").agg(F.sum("__s").alias("__n"))
+    sums = sums.select(*keys, "__b", (F.sum("__n").over(W.partitionBy(*keys).orderBy("__b")) - F.col("__n")).alias("__before"))
+    inner = F.sum("__s").over(W.partitionBy(*keys, "__b").orderBy(time, tie).rowsBetween(W.unboundedPreceding, 0))
+    return df.withColumn("__i", inner).join(sums, [*keys, "__b"]).withColumn("number", F.col("__before") + F.col("__i")).drop("__b", "__s", "__i", "__before")
 
 
-def with_previous(df: DataFrame, columns: Sequence[str], time: str, tie: str, bucket: str = "hour") -> DataFrame:
-    """Adds ``previous``, a struct of the columns of the row before in order of (time, tie) over the whole table.
-    Only the first row of a time bucket looks into the table of buckets."""
+def with_previous(df: DataFrame, columns: Sequence[str], time: str, tie: str, bucket: str = "hour", keys: Sequence[str] = ()) -> DataFrame:
+    """Adds ``previous``, a struct of the columns of the row before of the same keys, in order of (time, tie). Only the
+    first row of a time bucket looks into the table of buckets."""
     df = df.withColumn("__b", F.date_trunc(bucket, time))
     fields = F.struct(*columns)
-    last = df.groupBy("__b").agg(F.max_by(fields, F.struct(time, tie)).alias("__last"))
-    last = last.select("__b", F.lag("__last").over(W.orderBy("__b")).alias("__last"))
-    inner = F.lag(fields).over(W.partitionBy("__b").orderBy(time, tie))
-    return df.withColumn("__i", inner).join(last, "__b").withColumn("previous", F.coalesce("__i", "__last")).drop("__b", "__i", "__last")
+    last = df.groupBy(*keys, "__b").agg(F.max_by(fields, F.struct(time, tie)).alias("__last"))
+    last = last.select(*keys, "__b", F.lag("__last").over(W.partitionBy(*keys).orderBy("__b")).alias("__last"))
+    inner = F.lag(fields).over(W.partitionBy(*keys, "__b").orderBy(time, tie))
+    return df.withColumn("__i", inner).join(last, [*keys, "__b"]).withColumn("previous", F.coalesce("__i", "__last")).drop("__b", "__i", "__last")
 
 
 def sessionize(alarms: DataFrame, gap: int = 1800, partition_by: Sequence[str] = (), time: str = "alarm_time", tie: str = "alarm_id") -> DataFrame:

@@ -11,10 +11,13 @@ from pyspark.sql import functions as F
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a temporary one only where none is named, as in tests."""
+    """The shared folder the cluster names; a temporary one only where none is named and all runs in one process."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None and not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir has to name a folder that all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-"))
     return sc.getCheckpointDir()
 
 

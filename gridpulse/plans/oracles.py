@@ -135,7 +135,7 @@ _add("gr7_entity_neighbours", NE + TL, "SELECT entity, neighbour FROM nb", _NEIG
 _HOPS = """
 h AS (SELECT grp, node, 0 AS hop FROM starts UNION ALL SELECT h.grp, other, hop + 1 FROM h JOIN both_ways USING (node) WHERE hop < 2),
 hops AS (SELECT grp, node, min(hop) AS hop FROM h GROUP BY ALL),"""
-_add("gr8_k_hop", NE + TL, 'SELECT grp AS "group", node, hop FROM hops', _EDGES + "starts AS (SELECT ID AS grp, ID AS node FROM network_elements WHERE ID % 50 = 0)," + _HOPS, True)
+_add("gr8_k_hop", NE + TL, 'SELECT grp AS "group", node, hop FROM hops', _EDGES + "starts AS (SELECT ID AS grp, ID AS node FROM network_elements)," + _HOPS, True)
 _ADJ = _EDGES + """
 adj AS (SELECT node, other FROM both_ways WHERE node IN (SELECT ID FROM network_elements) AND other IN (SELECT ID FROM network_elements) UNION ALL SELECT ID, ID FROM network_elements),
 sc AS (SELECT node, power(count(*) + 1e-6, -0.5) AS s FROM adj GROUP BY node),
@@ -182,7 +182,7 @@ _TOP = "(SELECT incident, count(*) AS alarm_count FROM scored GROUP BY ALL ORDER
 _add("st2_top_incidents", AL + LIB, f"SELECT incident, alarm_count, printf('INC-%04d', row_number() OVER (ORDER BY alarm_count DESC, incident)) AS number FROM {_TOP.format(100)}", _SCORED)
 _add("jn11_incident_ne_details", NE + AL + LIB, "SELECT DISTINCT incident, entity_id AS ne_id, NE_NAME AS ne_name, NE_TYPE AS ne_type, TECHNOLOGY AS technology, VENDOR AS vendor, DOMAIN AS domain FROM scored LEFT JOIN network_elements ON NE_ID = entity_id", _SCORED)
 _add("jn13_at_risk_elements", NE + TL + AL + LIB, "SELECT grp AS incident, NE_ID AS ne_id, hop FROM hops JOIN network_elements ON ID = node WHERE hop > 0", _SCORED + _EDGES + f"""
-starts AS (SELECT DISTINCT incident AS grp, ID AS node FROM scored JOIN network_elements ON NE_ID = entity_id WHERE incident IN (SELECT incident FROM {_TOP.format(20)})),""" + _HOPS, True)
+starts AS (SELECT DISTINCT incident AS grp, ID AS node FROM scored JOIN network_elements ON NE_ID = entity_id WHERE incident IN (SELECT incident FROM {_TOP.format(100)})),""" + _HOPS, True)
 _add("cp1_build_master_features", NE + HW + TL, f"""SELECT ID, {_ENC('NE_TYPE', 0)}, {_ENC('TECHNOLOGY', 0)}, {_ENC('VENDOR', 0)}, {_ENC('DOMAIN', 0)}, {_ENC('NE_STATUS', 0)}, NE_AGE_DAYS, WARRANTY_REMAINING_DAYS, WARRANTY_EXPIRED,
   {_CASES('TECHNOLOGY', el.GENERATIONS)} AS TECH_GENERATION, IS_VIRTUAL AS IS_VIRTUAL_NUM, 0 AS IS_SECURED_NUM, 0 AS BGP_STATUS_NUM, 0 AS OSPF_STATUS_NUM, 0 AS LLDP_STATUS_NUM, 0 AS PROTOCOL_HEALTH_SCORE,
   GRAPH_DEGREE, round(CLUSTERING_COEF, 6) AS CLUSTERING_COEF, COMPONENT_SIZE, IS_LEAF, IS_ISOLATED, TOPO_LAYER, HIERARCHY_DEPTH, (PARENT_NE_ID_FK IS NULL)::INT AS IS_ROOT_NODE, {_COMPLETE} AS GEO_COMPLETENESS,
@@ -207,3 +207,43 @@ classes AS (SELECT root_cause AS class FROM guesses UNION SELECT guess FROM gues
 n AS (SELECT class, (SELECT count(*) FROM guesses WHERE root_cause = class) AS support, (SELECT count(*) FROM guesses WHERE guess = class) AS guessed, (SELECT count(*) FROM guesses WHERE root_cause = class AND guess = class) AS hits FROM classes),
 t AS (SELECT class, support, CASE WHEN guessed > 0 THEN hits / guessed ELSE 0 END AS p, CASE WHEN support > 0 THEN hits / support ELSE 0 END AS r FROM n)""")
 _add("ml6_accept_model", AL + LIB, "SELECT round(avg((root_cause = guess)::INT), 6) AS old_accuracy, round(avg((root_cause = raw)::INT), 6) AS new_accuracy, avg((root_cause = raw)::INT) >= avg((root_cause = guess)::INT) - 0.02 AS accepted FROM guesses", _GUESS)
+# The sequential rules, a row after another: the state goes from row to row.
+_ORDERED = _NEIGHBOURS + """
+near AS (SELECT entity, list(DISTINCT neighbour) AS near FROM nb GROUP BY ALL),
+o AS MATERIALIZED (SELECT alarm_id, entity_id, epoch_us(alarm_time) AS us, coalesce(near, [entity_id]) AS near, row_number() OVER (ORDER BY alarm_time, alarm_id) AS rn FROM alarms LEFT JOIN near ON entity = entity_id),"""
+_add("in1_correlate_exact", NE + TL + AL, "SELECT alarm_id, first::VARCHAR AS incident FROM f", _ORDERED + """
+f AS (SELECT rn, alarm_id, us, [entity_id] AS held, alarm_id AS first FROM o WHERE rn = 1
+  UNION ALL SELECT o.rn, o.alarm_id, o.us, CASE WHEN o.us - f.us <= 1800000000 AND list_has_any(f.held, o.near) THEN list_distinct(f.held || o.near) ELSE [o.entity_id] END,
+  CASE WHEN o.us - f.us <= 1800000000 AND list_has_any(f.held, o.near) THEN f.first ELSE o.alarm_id END FROM f JOIN o ON o.rn = f.rn + 1)""", True)
+_add("in2_correlate_seeded", NE + TL + AL, "SELECT alarm_id, first::VARCHAR AS incident FROM f", _ORDERED + """
+f AS (SELECT rn, alarm_id, alarm_id AS first, [{'id': alarm_id, 'us': us, 'near': list_append(near, entity_id)}] AS seeds FROM o WHERE rn = 1
+  UNION ALL SELECT rn, alarm_id, coalesce(hit, alarm_id), CASE WHEN hit IS NULL THEN list_append(seeds, {'id': alarm_id, 'us': us, 'near': list_append(near, entity_id)}) ELSE seeds END
+  FROM (SELECT *, list_filter(seeds, lambda s: list_contains(s.near, entity_id))[1].id AS hit
+    FROM (SELECT o.*, list_filter(f.seeds, lambda s: o.us - s.us <= 1800000000) AS seeds FROM f JOIN o ON o.rn = f.rn + 1)))""", True)
+_add("snk5_write_report", NE + TL + AL + LIB, """SELECT number, alarm_count, p AS primary_root_cause, alarm_count AS alarms, (SELECT count(DISTINCT entity_id) FROM scored s WHERE s.incident = t.incident) AS affected_elements,
+  (SELECT count(DISTINCT NE_ID) FROM hops JOIN network_elements ON ID = node WHERE hop > 0 AND grp = t.incident) AS at_risk,
+  (SELECT count(*) FROM (SELECT DISTINCT incident, alarm_code FROM scored) c JOIN rules ON antecedent = c.alarm_code WHERE c.incident = t.incident) AS propagation, first_alarm, last_alarm
+  FROM numbered t JOIN ends USING (incident) JOIN modes USING (incident)""", _SCORED + _EDGES + f"""
+numbered AS (SELECT incident, alarm_count, printf('INC-%04d', row_number() OVER (ORDER BY alarm_count DESC, incident)) AS number FROM {_TOP.format(100)}),
+ends AS (SELECT incident, arg_min(alarm_id, (open_time, alarm_id)) AS first_alarm, arg_max(alarm_id, (open_time, alarm_id)) AS last_alarm FROM scored GROUP BY ALL),
+modes AS (SELECT incident, arg_min(v, (-n, v)) AS p FROM (SELECT incident, predicted_root_cause AS v, count(*) AS n FROM scored GROUP BY ALL) GROUP BY ALL),
+starts AS (SELECT DISTINCT incident AS grp, ID AS node FROM scored JOIN network_elements ON NE_ID = entity_id WHERE incident IN (SELECT incident FROM numbered)),""" + _HOPS
+  + _RULES.replace("gaps AS", "gaps2 AS").replace("FROM gaps)", "FROM gaps2)").replace("sessions AS", "sessions2 AS").replace("FROM sessions", "FROM sessions2"), True)
+# Streams: what the watermark, ten minutes behind the last row, has closed.
+_LATE = "(SELECT epoch_us(max({})) - 600000000 FROM {})"
+_add("sm2_sessionize_stream", AL, f"""SELECT entity_id, min(alarm_time) AS start, max(alarm_time) AS "end", count(*) AS alarms, count(DISTINCT alarm_code) AS codes FROM s
+  GROUP BY entity_id, n HAVING epoch_us(max(alarm_time)) + 43200000000 <= {_LATE.format('alarm_time', 'alarms')}""", """
+g AS (SELECT *, epoch_us(alarm_time) - epoch_us(lag(alarm_time) OVER (PARTITION BY entity_id ORDER BY alarm_time)) AS g FROM alarms),
+s AS (SELECT *, sum(CASE WHEN g < 43200000000 THEN 0 ELSE 1 END) OVER (PARTITION BY entity_id ORDER BY alarm_time ROWS UNBOUNDED PRECEDING) AS n FROM g)""")
+_add("sm3_correlate_stream", NE + TL + AL, f"""SELECT component, min(alarm_time) AS start, max(alarm_time) AS "end", count(*) AS alarms, count(DISTINCT entity_id) AS entities FROM s
+  GROUP BY component, n HAVING epoch_us(max(alarm_time)) + 1800000001 <= {_LATE.format('alarm_time', 'alarms')}""", _NEIGHBOURS + """
+reach AS (SELECT entity AS root, entity FROM nb UNION SELECT r.root, nb.neighbour FROM reach r JOIN nb USING (entity) WHERE nb.neighbour > r.root),
+topology AS (SELECT entity AS entity_id, min(root) AS component FROM reach GROUP BY entity),
+k AS (SELECT alarm_time, entity_id, coalesce(component, entity_id) AS component FROM alarms LEFT JOIN topology USING (entity_id)),
+g AS (SELECT *, epoch_us(alarm_time) - epoch_us(lag(alarm_time) OVER (PARTITION BY component ORDER BY alarm_time)) AS g FROM k),
+s AS (SELECT *, sum(CASE WHEN g <= 1800000000 THEN 0 ELSE 1 END) OVER (PARTITION BY component ORDER BY alarm_time ROWS UNBOUNDED PRECEDING) AS n FROM g)""", True)
+_add("sm4_kpi_stream", KPI, f"""SELECT ne_id, make_timestamp(w) AS start, make_timestamp(w + 86400000000) AS "end", round(avg(kpi_value), 6) AS kpi_mean, round(coalesce(stddev_samp(kpi_value), 1.0), 6) AS kpi_std,
+  round(min(kpi_value), 6) AS kpi_min, round(max(kpi_value), 6) AS kpi_max, count(*) AS points FROM w GROUP BY ne_id, w HAVING w + 86400000000 <= {_LATE.format('ts', 'kpi_history')}""", """
+w AS (SELECT *, unnest([epoch_us(ts) // 43200000000 * 43200000000, epoch_us(ts) // 43200000000 * 43200000000 - 43200000000]) AS w FROM kpi_history)""")
+_add("sm5_reload_rules", AL, """SELECT alarm_id, (SELECT count(*) FROM rules WHERE antecedent = alarm_code AND (alarm_time < TIMESTAMP '2024-01-15' OR confidence >= 0.12)) AS n,
+  CASE WHEN alarm_time < TIMESTAMP '2024-01-15' THEN '1' ELSE '2' END AS version FROM alarms""", _RULES)

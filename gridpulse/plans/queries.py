@@ -170,8 +170,11 @@ def snk4_export_entity_features(s, d):
 def snk5_write_report(s, d):
     path = _folder(s)
     ne = view(s, d, "network_elements")
-    sinks.write_json(report.write_report(_scored(s, d), _rules(s, d), ne, ne, view(s, d, "topology_links"), 20), path)
-    return s.read.json(path).select("number", "alarm_count", "primary_root_cause", F.size("alarms").alias("alarms"), F.size("affected_elements").alias("elements"))
+    sinks.write_json(report.write_report(_scored(s, d), _rules(s, d), ne, ne, view(s, d, "topology_links"), 100), path)
+    found = s.read.json(path)
+    sizes = [F.coalesce(F.size(c), F.lit(0)).cast("long").alias(c) for c in ("alarms", "affected_elements", "at_risk", "propagation")]
+    first, last = F.get("alarms", F.lit(0))["alarm_id"], F.element_at("alarms", -1)["alarm_id"]
+    return found.select("number", "alarm_count", "primary_root_cause", *sizes, first.alias("first_alarm"), last.alias("last_alarm"))
 
 
 # Schema, filters, labels, scalar functions
@@ -259,7 +262,7 @@ def gr2_graph_features(s, d):
 
 @query
 def gr3_betweenness(s, d):
-    return _rounded(graph.betweenness(_edges(s, d), k=16), 9)
+    return _rounded(graph.betweenness(_edges(s, d), k=500), 9)
 
 
 @query
@@ -288,7 +291,7 @@ def gr7_entity_neighbours(s, d):
 
 @query
 def gr8_k_hop(s, d):
-    starts = view(s, d, "network_elements").where("ID % 50 = 0").select(F.col("ID").alias("group"), F.col("ID").alias("node"))
+    starts = view(s, d, "network_elements").select(F.col("ID").alias("group"), F.col("ID").alias("node"))
     return graph.k_hop(starts, _edges(s, d), 2)
 
 
@@ -418,7 +421,7 @@ def jn11_incident_ne_details(s, d):
 
 @query
 def jn13_at_risk_elements(s, d):
-    some = _scored(s, d).join(report.top_incidents(_scored(s, d), 20).select("incident"), "incident", "left_semi")
+    some = _scored(s, d).join(report.top_incidents(_scored(s, d), 100).select("incident"), "incident", "left_semi")
     return report.at_risk_elements(some, view(s, d, "network_elements"), view(s, d, "topology_links"))
 
 
@@ -516,13 +519,19 @@ def ml6_accept_model(s, d):
 
 # Models
 
-MODEL_COLUMNS = ("NE_TYPE_ENC", "TECHNOLOGY_ENC", "VENDOR_ENC", "DOMAIN_ENC", "GRAPH_DEGREE", "TOPO_LAYER", "CLUSTERING_COEF", "HIERARCHY_DEPTH", "SRC_AVG_UTILIZATION", "LINK_HEALTH_SCORE")
+PIVOTS = 500
+
+
+def _training(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """The master features and the labelled alarms with them, split."""
+    master = cut(features.build_master_features(_elements(s, d), view(s, d, "topology_links"), PIVOTS))
+    rows = features.training_set(_labelled(s, d), master)
+    return master, cut(models.stratified_split(rows, "root_cause", "alarm_id"))
 
 
 def _model(s: SparkSession, d: str) -> tuple[models.RootCauseModel, DataFrame]:
-    rows = features.training_set(_labelled(s, d), cut(_master(s, d)))
-    rows = cut(models.stratified_split(rows, "root_cause", "alarm_id"))
-    return models.RootCauseModel(MODEL_COLUMNS, trees=20, depth=6).fit(rows.where("train")), rows
+    rows = _training(s, d)[1]
+    return models.RootCauseModel(features.FEATURES, trees=300, depth=8).fit(rows.where("train")), rows
 
 
 @query
@@ -544,7 +553,7 @@ KPI_COLUMNS = ("kpi_mean", "kpi_std", "kpi_min", "kpi_max", "kpi_trend", "kpi_pc
 def ml3_isolation_forest(s, d):
     df = cut(kpi.kpi_window_features(view(s, d, "kpi_history"), 80.0, 86_400, 7 * 86_400))
     rate = df.agg(F.avg("is_anomaly")).first()[0] or 0.0
-    forest = models.IsolationForest(KPI_COLUMNS, trees=50).fit(df, min(0.1, rate + 0.02))
+    forest = models.IsolationForest(KPI_COLUMNS, trees=200).fit(df, min(0.1, rate + 0.02))
     return forest.score(df).select("ne_id", "ts", "anomaly_score", "anomaly", "is_anomaly")
 
 
@@ -579,13 +588,38 @@ def ml7_incremental_run(s, d):
 
 @query
 def sm1_score_stream(s, d):
-    found = cut(_rules(s, d))
+    """Every alarm with the features of its element, a cause by a model, and its expected consequents."""
+    master, rows = _training(s, d)
+    score = streams.scorer(master, models.RootCauseModel(features.FEATURES, trees=40, depth=8).fit(rows.where("train")), cut(_rules(s, d)))
     out, state = _folder(s), _folder(s)
-    score = streams.Versioned(lambda: "1", lambda v: lambda batch: rules.predict_propagation(batch, found).withColumn("version", F.lit(v)))
     stream = streams.stream_alarms(s, _alarm_files(s, d), files=1)
-    writer = streams.score_stream(stream, score, lambda df, n: df.write.mode("append").parquet(out))
+    writer = streams.score_stream(stream, lambda: score, lambda df, n: df.write.mode("append").parquet(out))
     writer.option("checkpointLocation", state).trigger(availableNow=True).start().awaitTermination()
-    return s.read.parquet(out).select("alarm_id", "entity_id", "propagation_count", "version")
+    return s.read.parquet(out).select("alarm_id", "entity_id", "predicted_root_cause", F.round("confidence", 6).alias("confidence"), F.col("propagation_count").cast("long").alias("propagation_count"))
+
+
+@query
+def sm5_reload_rules(s, d):
+    """The version of the rules changes while the stream runs: from the second batch on only confident ones count."""
+    found = cut(_rules(s, d))
+    least = {"1": 0.0, "2": 0.12}
+    version = ["1"]
+    scoring = streams.Versioned(
+        lambda: version[0], lambda v: lambda batch: rules.predict_propagation(batch, found, None, least[v]).withColumn("version", F.lit(v))
+    )
+    out, state = _folder(s), _folder(s)
+
+    def sink(df: DataFrame, number: int) -> None:
+        df.write.mode("append").parquet(out)
+        version[0] = "2"
+
+    path = _folder(s)
+    for half in ("alarm_time < '2024-01-15'", "alarm_time >= '2024-01-15'"):  # a batch each, in this order
+        view(s, d, "alarms").where(half).coalesce(1).write.mode("append").parquet(path)
+    stream = streams.stream_alarms(s, path, files=1)
+    writer = streams.score_stream(stream, scoring, sink).option("checkpointLocation", state)
+    writer.trigger(availableNow=True).start().awaitTermination()
+    return s.read.parquet(out).select("alarm_id", F.col("propagation_count").cast("long").alias("n"), "version")
 
 
 @query
@@ -597,18 +631,24 @@ def sm2_sessionize_stream(s, d):
 def sm3_correlate_stream(s, d):
     found = components(_neighbours(s, d).where("entity != neighbour").select(F.col("entity").alias("a"), F.col("neighbour").alias("b")))
     topology = found.select(F.col("node").alias("entity_id"), F.col("root").alias("component"))
-    key = "spark.sql.streaming.stateStore.providerClass"
-    before = s.conf.get(key, None)
-    s.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    try:
-        return _run(s, streams.correlate_stream(streams.stream_alarms(s, _alarm_files(s, d)), topology))
-    finally:
-        s.conf.unset(key) if before is None else s.conf.set(key, before)
+    return _run(s, streams.correlate_stream(streams.stream_alarms(s, _alarm_files(s, d)), topology))
 
 
-@query
-def sm4_kpi_stream(s, d):
+def _kpi_stream(s: SparkSession, d: str) -> DataFrame:
     path = _folder(s)
     view(s, d, "kpi_history").write.parquet(path)
     stream = s.readStream.schema("ne_id long, ts timestamp, kpi_value double, is_anomaly int").parquet(path)
-    return _run(s, streams.kpi_stream(stream, "1 day", "12 hours"))
+    return streams.kpi_stream(stream, "1 day", "12 hours")
+
+
+@query
+def sm4_kpi_stream(s, d):
+    return _rounded(_run(s, _kpi_stream(s, d)))
+
+
+@query
+def sm4_score_kpi_stream(s, d):
+    """The same windows with an anomaly flag, by a forest of the windows before a date."""
+    past = cut(streams.kpi_windows(view(s, d, "kpi_history").where("ts < '2024-01-20'"), "1 day", "12 hours"))
+    forest = models.IsolationForest(["kpi_mean", "kpi_std", "kpi_min", "kpi_max"], trees=200).fit(past, 0.1)
+    return _run(s, streams.score_kpi_stream(_kpi_stream(s, d), forest)).select("ne_id", "start", "end", "anomaly_score", "anomaly")
