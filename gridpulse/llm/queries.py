@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import linededup, maintext, mixing, mtree, pieces, quality, secrets, sharding, simhash, urlfilter
+from . import centroids, linededup, maintext, mixing, mtree, negatives, pieces, quality, secrets, sharding, simhash, suffixes, urlfilter
 from .common import table
 
 
@@ -120,6 +120,22 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", centroids.kept(F.col("embedding"), scale=256, dim=64).alias("v"))
+    return centroids.with_inertia(centroids.cluster(vectors, k=40, rounds=5, seed=2))
+
+
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffixes.digests(table(spark, sf_dir, "documents").select("doc_id", "text"), depth=400)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.col("kept").alias("kept_sha256"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", label.alias("label"), mtree.quantised(F.col("embedding"), 256).alias("v"))
+    return negatives.mine(rows, F.col("vec_id") % 50 == 0, positives=5, negatives=3, least=50, most=95)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -133,6 +149,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_simhash,
         op9_line_dedup,
         op10_sentencepiece,
+        op11_centroid_clusters,
+        op12_suffix_dedup,
+        op13_hard_negatives,
     )
 }
 
@@ -233,10 +252,57 @@ s AS (SELECT q.vec_id AS query_id, v.vec_id, list_dot_product(q.e, v.e)::BIGINT
 SELECT query_id, rank::INT AS rank, vec_id, score FROM
   (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 10"""
 
+_FINE = "embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+
+
+def _op11_sql(k: int = 40, rounds: int = 5, seed: int = 2) -> str:
+    def assigned(r: int) -> str:
+        d = "list_dot_product(e, e) - 2 * list_dot_product(e, ce) + list_dot_product(ce, ce)"
+        return f"""a{r} AS MATERIALIZED (SELECT rid, vec_id, e, c AS cluster, d::BIGINT AS distance FROM (SELECT rid, vec_id, e, c, {d} AS d,
+  row_number() OVER (PARTITION BY rid ORDER BY {d}, c) AS n FROM v, c{r}) WHERE n = 1)"""
+
+    def moved(r: int) -> str:
+        return f"""c{r + 1} AS MATERIALIZED (SELECT c, coalesce(m, ce) AS ce FROM c{r} LEFT JOIN (SELECT cluster, list(x ORDER BY p) AS m FROM
+  (SELECT cluster, p, floor(sum(x) / count(*)) AS x FROM (SELECT cluster, unnest(e) AS x, unnest(range(64)) AS p FROM a{r}) GROUP BY cluster, p) GROUP BY cluster) ON c = cluster)"""
+
+    steps = ", ".join(f"{assigned(r)}, {moved(r)}" for r in range(rounds))
+    sha = "sha256(array_to_string(list_transform(ce, lambda x: x::BIGINT::VARCHAR), ','))"
+    return f"""WITH v AS (SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings WHERE len(embedding) = 64 AND {_FINE}),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h) - 1 AS c, e AS ce FROM (SELECT sha256('{seed}:' || vec_id) AS h, e FROM v ORDER BY h LIMIT {k})),
+{steps}, {assigned(rounds)}
+SELECT vec_id, cluster::INT AS cluster, distance, (sum(distance) OVER (PARTITION BY cluster))::BIGINT AS cluster_inertia,
+  (sum(distance) OVER ())::BIGINT AS inertia, {sha} AS centroid_sha256 FROM a{rounds} JOIN c{rounds} ON c = cluster"""
+
+
+_OP12_SQL = """WITH d AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+p AS (SELECT rid, o, substr(x, 2 * o + 1, 2 * (1000 + 399)) AS x FROM (SELECT rid, x, unnest(range(0, len(x) // 2 - 399, 1000)) AS o FROM d)),
+w AS (SELECT rid, o + i AS i, md5(substr(x, 2 * i + 1, 800)) AS m FROM (SELECT rid, o, x, unnest(range(0, len(x) // 2 - 399)) AS i FROM p)),
+s AS (SELECT rid, i, lag(i) OVER (PARTITION BY rid ORDER BY i) AS before FROM (SELECT rid, i, count(*) OVER (PARTITION BY m) AS n FROM w) WHERE n > 1),
+g AS (SELECT rid, i, sum(CASE WHEN before IS NULL OR i > before + 400 THEN 1 ELSE 0 END) OVER (PARTITION BY rid ORDER BY i) AS g FROM s),
+spans AS (SELECT rid, min(i) AS a, max(i) + 400 AS b FROM g GROUP BY rid, g),
+cuts AS (SELECT rid, a, b, coalesce(lag(b) OVER (PARTITION BY rid ORDER BY a), 0) AS since FROM spans),
+gone AS (SELECT rid, sum(b - a)::BIGINT AS n_removed, count(*)::BIGINT AS n_spans, max(b) AS last,
+  string_agg(substr(x, 2 * since + 1, 2 * (a - since)), '' ORDER BY a) AS kept FROM cuts JOIN d USING (rid) GROUP BY rid)
+SELECT doc_id, (len(x) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(kept, '') || substr(x, 2 * coalesce(last, 0) + 1))) AS kept_sha256 FROM d LEFT JOIN gone USING (rid)"""
+
+_OP13_SQL = f"""WITH v AS (SELECT row_number() OVER () AS rid, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+  list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND {_FINE}),
+s AS MATERIALIZED (SELECT a.rid, a.vec_id AS anchor_id, v.vec_id, a.label = v.label AS alike, list_dot_product(a.e, v.e)::BIGINT AS score
+  FROM v a JOIN v ON a.rid <> v.rid AND len(a.e) = len(v.e) WHERE a.vec_id % 50 = 0),
+p AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id) AS n FROM s WHERE alike) WHERE n <= 5),
+q AS (SELECT p.anchor_id, p.vec_id AS positive_id, row_number() OVER (PARTITION BY rid, p.n ORDER BY s.score DESC, s.vec_id) AS rank, s.vec_id AS negative_id,
+  p.score AS positive_score, s.score AS negative_score FROM p JOIN s USING (rid)
+  WHERE NOT s.alike AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score)
+SELECT anchor_id, positive_id, rank::INT AS rank, negative_id, positive_score, negative_score FROM q WHERE rank <= 3"""
+
 ORACLES: dict[str, str] = {
     "op1_quality_rules": _op1_sql(),
     "op2_mixing": _OP2_SQL,
     "op5_url_filter": _OP5_SQL,
     "op6_html_extraction": _OP6_SQL,
     "op7_top_k": _OP7_SQL,
+    "op11_centroid_clusters": _op11_sql(),
+    "op12_suffix_dedup": _OP12_SQL,
+    "op13_hard_negatives": _OP13_SQL,
 }
