@@ -215,11 +215,12 @@ _add("in1_correlate_exact", NE + TL + AL, "SELECT alarm_id, first::VARCHAR AS in
 f AS (SELECT rn, alarm_id, us, [entity_id] AS held, alarm_id AS first FROM o WHERE rn = 1
   UNION ALL SELECT o.rn, o.alarm_id, o.us, CASE WHEN o.us - f.us <= 1800000000 AND list_has_any(f.held, o.near) THEN list_distinct(f.held || o.near) ELSE [o.entity_id] END,
   CASE WHEN o.us - f.us <= 1800000000 AND list_has_any(f.held, o.near) THEN f.first ELSE o.alarm_id END FROM f JOIN o ON o.rn = f.rn + 1)""", True)
-_add("in2_correlate_seeded", NE + TL + AL, "SELECT alarm_id, first::VARCHAR AS incident FROM f", _ORDERED + """
+_SEEDED = _ORDERED + """
 f AS (SELECT rn, alarm_id, alarm_id AS first, [{'id': alarm_id, 'us': us, 'near': list_append(near, entity_id)}] AS seeds FROM o WHERE rn = 1
   UNION ALL SELECT rn, alarm_id, coalesce(hit, alarm_id), CASE WHEN hit IS NULL THEN list_append(seeds, {'id': alarm_id, 'us': us, 'near': list_append(near, entity_id)}) ELSE seeds END
   FROM (SELECT *, list_filter(seeds, lambda s: list_contains(s.near, entity_id))[1].id AS hit
-    FROM (SELECT o.*, list_filter(f.seeds, lambda s: o.us - s.us <= 1800000000) AS seeds FROM f JOIN o ON o.rn = f.rn + 1)))""", True)
+    FROM (SELECT o.*, list_filter(f.seeds, lambda s: o.us - s.us <= 1800000000) AS seeds FROM f JOIN o ON o.rn = f.rn + 1)))"""
+_add("in2_correlate_seeded", NE + TL + AL, "SELECT alarm_id, first::VARCHAR AS incident FROM f", _SEEDED, True)
 _add("snk5_write_report", NE + TL + AL + LIB, """SELECT number, alarm_count, p AS primary_root_cause, alarm_count AS alarms, (SELECT count(DISTINCT entity_id) FROM scored s WHERE s.incident = t.incident) AS affected_elements,
   (SELECT count(DISTINCT NE_ID) FROM hops JOIN network_elements ON ID = node WHERE hop > 0 AND grp = t.incident) AS at_risk,
   (SELECT count(*) FROM (SELECT DISTINCT incident, alarm_code FROM scored) c JOIN rules ON antecedent = c.alarm_code WHERE c.incident = t.incident) AS propagation, first_alarm, last_alarm
@@ -235,13 +236,8 @@ _add("sm2_sessionize_stream", AL, f"""SELECT entity_id, min(alarm_time) AS start
   GROUP BY entity_id, n HAVING epoch_us(max(alarm_time)) + 43200000000 <= {_LATE.format('alarm_time', 'alarms')}""", """
 g AS (SELECT *, epoch_us(alarm_time) - epoch_us(lag(alarm_time) OVER (PARTITION BY entity_id ORDER BY alarm_time)) AS g FROM alarms),
 s AS (SELECT *, sum(CASE WHEN g < 43200000000 THEN 0 ELSE 1 END) OVER (PARTITION BY entity_id ORDER BY alarm_time ROWS UNBOUNDED PRECEDING) AS n FROM g)""")
-_add("sm3_correlate_stream", NE + TL + AL, f"""SELECT component, min(alarm_time) AS start, max(alarm_time) AS "end", count(*) AS alarms, count(DISTINCT entity_id) AS entities FROM s
-  GROUP BY component, n HAVING epoch_us(max(alarm_time)) + 1800000001 <= {_LATE.format('alarm_time', 'alarms')}""", _NEIGHBOURS + """
-reach AS (SELECT entity AS root, entity FROM nb UNION SELECT r.root, nb.neighbour FROM reach r JOIN nb USING (entity) WHERE nb.neighbour > r.root),
-topology AS (SELECT entity AS entity_id, min(root) AS component FROM reach GROUP BY entity),
-k AS (SELECT alarm_time, entity_id, coalesce(component, entity_id) AS component FROM alarms LEFT JOIN topology USING (entity_id)),
-g AS (SELECT *, epoch_us(alarm_time) - epoch_us(lag(alarm_time) OVER (PARTITION BY component ORDER BY alarm_time)) AS g FROM k),
-s AS (SELECT *, sum(CASE WHEN g <= 1800000000 THEN 0 ELSE 1 END) OVER (PARTITION BY component ORDER BY alarm_time ROWS UNBOUNDED PRECEDING) AS n FROM g)""", True)
+_add("sm3_correlate_stream", NE + TL + AL, f"""SELECT alarm_id, entity_id, alarm_time, first::VARCHAR AS incident FROM f JOIN alarms USING (alarm_id)
+  WHERE epoch_us(alarm_time) <= {_LATE.format('alarm_time', 'alarms')}""", _SEEDED, True)
 _add("sm4_kpi_stream", KPI, f"""SELECT ne_id, make_timestamp(w) AS start, make_timestamp(w + 86400000000) AS "end", round(avg(kpi_value), 6) AS kpi_mean, round(coalesce(stddev_samp(kpi_value), 1.0), 6) AS kpi_std,
   round(min(kpi_value), 6) AS kpi_min, round(max(kpi_value), 6) AS kpi_max, count(*) AS points FROM w GROUP BY ne_id, w HAVING w + 86400000000 <= {_LATE.format('ts', 'kpi_history')}""", """
 w AS (SELECT *, unnest([epoch_us(ts) // 43200000000 * 43200000000, epoch_us(ts) // 43200000000 * 43200000000 - 43200000000]) AS w FROM kpi_history)""")

@@ -14,7 +14,7 @@ from ..operators import changes, evaluate, features, graph, incidents, kpi, link
 from ..operators.components import components
 from ..operators.shared import checkpoint_dir, cut
 from ..sources import loaders, schema, sinks
-from ..streaming import streams
+from ..streaming import seeded, streams
 from .fixtures import view
 
 AS_OF = "2005-01-01"
@@ -629,9 +629,15 @@ def sm2_sessionize_stream(s, d):
 
 @query
 def sm3_correlate_stream(s, d):
-    found = components(_neighbours(s, d).where("entity != neighbour").select(F.col("entity").alias("a"), F.col("neighbour").alias("b")))
-    topology = found.select(F.col("node").alias("entity_id"), F.col("root").alias("component"))
-    return _run(s, streams.correlate_stream(streams.stream_alarms(s, _alarm_files(s, d)), topology))
+    """The seeded incidents of the alarms that the watermark has passed."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = s.conf.get(name)
+    s.conf.set(name, seeded.ROCKSDB)
+    try:
+        found = _run(s, seeded.correlate_stream(streams.stream_alarms(s, _alarm_files(s, d)), _neighbours(s, d)))
+    finally:
+        s.conf.set(name, before)
+    return found.select("alarm_id", "entity_id", "alarm_time", "incident")
 
 
 def _kpi_stream(s: SparkSession, d: str) -> DataFrame:
