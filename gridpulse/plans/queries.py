@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import elements as el
 from ..functions import labels as lb
-from ..operators import changes, evaluate, features, graph, incidents, kpi, links, models, report, rules, sequences, sessions
+from ..operators import boosting, changes, evaluate, features, graph, incidents, kpi, links, models, report, rules, sequences, sessions
 from ..operators.components import components
 from ..operators.shared import checkpoint_dir, cut
 from ..sources import loaders, schema, sinks
@@ -540,6 +540,14 @@ def ml1_root_cause_model(s, d):
     return evaluate.classification_report(model.score(rows.where("not train")), "root_cause", "predicted_root_cause")
 
 
+@query
+def ml1_boosted_causes(s, d):
+    """Boosted trees on the training rows, rated on the others."""
+    rows = _training(s, d)[1]
+    model = boosting.BoostedTrees(features.FEATURES, rounds=25, depth=4).fit(rows.where("train"))
+    return evaluate.classification_report(model.score(rows.where("not train")), "root_cause", "predicted_root_cause")
+
+
 @query
 def ml2_score_alarms(s, d):
     model, rows = _model(s, d)
