@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import elements as el
 from ..functions import labels as lb
-from ..operators import boosting, changes, evaluate, features, graph, incidents, kpi, links, models, report, rules, sequences, sessions
+from ..operators import boosting, changes, convolution, evaluate, features, graph, incidents, kpi, links, models, report, rules, sequences, sessions
 from ..operators.components import components
 from ..operators.shared import checkpoint_dir, cut
 from ..sources import loaders, schema, sinks
@@ -522,9 +522,14 @@ def ml6_accept_model(s, d):
 PIVOTS = 500
 
 
+def _declared(s: SparkSession, d: str) -> DataFrame:
+    """All declared features of every element."""
+    return cut(features.build_master_features(_elements(s, d), view(s, d, "topology_links"), PIVOTS))
+
+
 def _training(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """The master features and the labelled alarms with them, split."""
-    master = cut(features.build_master_features(_elements(s, d), view(s, d, "topology_links"), PIVOTS))
+    master = _declared(s, d)
     rows = features.training_set(_labelled(s, d), master)
     return master, cut(models.stratified_split(rows, "root_cause", "alarm_id"))
 
@@ -544,7 +549,7 @@ def ml1_root_cause_model(s, d):
 def ml1_boosted_causes(s, d):
     """Boosted trees on the training rows, rated on the others."""
     rows = _training(s, d)[1]
-    model = boosting.BoostedTrees(features.FEATURES, rounds=25, depth=4).fit(rows.where("train"))
+    model = boosting.BoostedTrees(features.FEATURES, rounds=12, depth=4).fit(rows.where("train"))
     return evaluate.classification_report(model.score(rows.where("not train")), "root_cause", "predicted_root_cause")
 
 
@@ -567,7 +572,14 @@ def ml3_isolation_forest(s, d):
 
 @query
 def ml4_topology_cause_model(s, d):
-    return models.TopologyCauseModel(["GRAPH_DEGREE", "VENDOR_ENC", "LINK_HEALTH_SCORE"]).fit_score(cut(_master(s, d)), view(s, d, "topology_links"), _labelled(s, d))
+    return models.TopologyCauseModel(features.FEATURES).fit_score(_declared(s, d), view(s, d, "topology_links"), _labelled(s, d))
+
+
+@query
+def ml4_graph_convolution(s, d):
+    """Causes of all elements by a convolution trained on those with alarms."""
+    model = convolution.GraphConvolution(features.FEATURES, hidden=16, epochs=25)
+    return model.fit_score(_declared(s, d), view(s, d, "topology_links"), _labelled(s, d))
 
 
 @query
