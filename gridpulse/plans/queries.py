@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import elements as el
 from ..functions import labels as lb
-from ..operators import boosting, changes, convolution, evaluate, features, graph, incidents, kpi, links, models, report, rules, sequences, sessions
+from ..operators import boosting, changes, convolution, evaluate, features, graph, incidents, kpi, links, models, report, rules, sequences, sessions, suffixtree
 from ..operators.components import components
 from ..operators.shared import checkpoint_dir, cut
 from ..sources import loaders, schema, sinks
@@ -589,6 +589,14 @@ def ml5_sequence_cause_model(s, d):
     return evaluate.classification_report(scored, "dominant_root_cause", "predicted_root_cause")
 
 
+@query
+def ml5_suffix_trees(s, d):
+    """Causes from the order of codes, rated on sequences that the trees haven't seen."""
+    rows = cut(models.stratified_split(_summaries(s, d), "dominant_root_cause", "incident"))
+    scored = suffixtree.SuffixTrees().fit(rows.where("train")).score(rows.where("not train"))
+    return evaluate.classification_report(scored, "dominant_root_cause", "predicted_root_cause")
+
+
 @query
 def ml7_incremental_run(s, d):
     ne, t, a = view(s, d, "network_elements"), view(s, d, "topology_links"), view(s, d, "alarms")
