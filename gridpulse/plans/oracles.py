@@ -152,6 +152,7 @@ _add("wn2_session_codes", AL, 'SELECT session_id, code, place, "first", "last" F
 _add("jn9_propagation_pairs", AL, "SELECT session_id, a, b, round(delay, 6) AS delay FROM pairs", _PAIRS)
 _add("ag6_propagation_rules", AL, """SELECT antecedent, consequent, count, round(support, 6) AS support, round(confidence, 6) AS confidence, round(m, 3) AS avg_delay_sec,
   round(s, 3) AS std_delay_sec, round(lo, 3) AS min_delay_sec, round(hi, 3) AS max_delay_sec, rank FROM rules""", _RULES)
+ORACLES["ag6_incremental_rules"] = ORACLES["ag6_propagation_rules"]
 _predict = "SELECT alarm_id, coalesce(n, 0) AS n, coalesce(c, '') AS consequents FROM alarms LEFT JOIN (SELECT antecedent, count(*) AS n, string_agg(consequent, ',' ORDER BY rank) AS c FROM rules WHERE {} GROUP BY ALL) ON antecedent = alarm_code"
 _add("jn7_predict_propagation", AL, _predict.format("rank <= 5"), _RULES)
 _add("jn8_predict_propagation_confident", AL, _predict.format("confidence >= 0.12"), _RULES)
@@ -199,6 +200,8 @@ _add("sc12_encode_sequences", AL + LIB, """SELECT incident, array_to_string(list
 seen AS (SELECT DISTINCT unnest(seq) AS c FROM summary WHERE alarm_count > 3), vocab AS (SELECT map_from_entries(list((c, i))) AS m FROM (SELECT c, row_number() OVER (ORDER BY c) + 1 AS i FROM seen))""")
 _add("sc14_standardize", NE, "SELECT ID, round((IS_VIRTUAL - (SELECT avg(IS_VIRTUAL) FROM network_elements)) / ((SELECT stddev_pop(IS_VIRTUAL) FROM network_elements) + 1e-6), 6) AS IS_VIRTUAL, round((coalesce(GEOGRAPHY_L3_ID_FK, 0) - (SELECT avg(coalesce(GEOGRAPHY_L3_ID_FK, 0)) FROM network_elements)) / ((SELECT stddev_pop(coalesce(GEOGRAPHY_L3_ID_FK, 0)) FROM network_elements) + 1e-6), 6) AS GEOGRAPHY_L3_ID_FK FROM network_elements")
 _add("ag12_table_fingerprint", NE, "SELECT *, md5(n || ':' || key_sum || ':' || row_hash) AS fingerprint FROM s", "s AS (SELECT count(*) AS n, sum(ID)::BIGINT AS key_sum, sum(('0x' || substr(md5(ID || '|' || NE_ID || '|' || coalesce(TECHNOLOGY, '~')), 1, 10))::BIGINT)::BIGINT AS row_hash FROM network_elements)")
+_add("ag12_changed_rows", NE, """SELECT ID::VARCHAR AS key, CASE WHEN ID % 50 = 1 THEN 'inserted' ELSE 'changed' END AS change FROM network_elements WHERE ID % 50 = 1 OR ID % 53 = 0
+  UNION ALL SELECT (-ID)::VARCHAR, 'deleted' FROM network_elements WHERE ID % 61 = 0 AND ID > 0""")
 _add("ag13_changes_since", AL, "SELECT count(*) AS new_alarms, count(*) > 100 AS retrain_needed FROM alarms WHERE alarm_time > TIMESTAMP '2024-01-25'")
 _add("ag14_load_summary", NE + TL + AL, """SELECT 'elements' AS "table", count(*) AS n, 0 AS labelled FROM network_elements UNION ALL SELECT 'links', count(*), 0 FROM topology_links UNION ALL SELECT 'alarms', count(*), count(*) FROM alarms""")
 _GUESS = _LABELLED + f"g AS (SELECT *, {_RAW} AS raw FROM labelled), guesses AS (SELECT *, CASE WHEN alarm_id % 3 > 0 THEN root_cause ELSE raw END AS guess FROM g),"

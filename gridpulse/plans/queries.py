@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import elements as el
 from ..functions import labels as lb
-from ..operators import boosting, changes, convolution, evaluate, features, graph, incidents, kpi, links, models, report, rules, sequences, sessions, suffixtree
+from ..operators import boosting, changes, convolution, evaluate, features, graph, hashtree, incidents, kpi, links, models, report, rules, rulestate, sequences, sessions, suffixtree
 from ..operators.components import components
 from ..operators.shared import checkpoint_dir, cut
 from ..sources import loaders, schema, sinks
@@ -336,6 +336,17 @@ def ag6_propagation_rules(s, d):
     return _rounded(_rules(s, d).withColumns({c: F.round(c, 3) for c in delays}))
 
 
+@query
+def ag6_incremental_rules(s, d):
+    """The same rules after a start with some alarms, in order of neither time nor id, and an update with the others."""
+    a = view(s, d, "alarms")
+    state = rulestate.start(a.where("alarm_id % 3 <> 0 AND alarm_time < '2024-01-20'"), GAP)
+    state.save(path := _folder(s))
+    state, _ = rulestate.update(rulestate.RuleState.load(s, path, GAP), a)
+    delays = ("avg_delay_sec", "std_delay_sec", "min_delay_sec", "max_delay_sec")
+    return _rounded(rulestate.rules(state, SUPPORT, CONFIDENCE).withColumns({c: F.round(c, 3) for c in delays}))
+
+
 def _predicted(s: SparkSession, d: str, k: int | None, least: float) -> DataFrame:
     df = rules.predict_propagation(view(s, d, "alarms"), _rules(s, d), k, least)
     codes = F.array_join(F.transform(F.coalesce("propagation", F.array()), lambda x: x["consequent"]), ",")
@@ -491,6 +502,17 @@ def ag12_table_fingerprint(s, d):
     return changes.table_fingerprint(view(s, d, "network_elements").select("ID", "NE_ID", "TECHNOLOGY"), "ID")
 
 
+@query
+def ag12_changed_rows(s, d):
+    """Elements that were added, removed or changed since a former state of the table was hashed."""
+    now = view(s, d, "network_elements").select("ID", "NE_ID", "TECHNOLOGY")
+    before = now.where("ID % 50 <> 1").withColumn("TECHNOLOGY", F.when(F.col("ID") % 53 == 0, "OLD").otherwise(F.col("TECHNOLOGY")))
+    gone = now.where("ID % 61 = 0").selectExpr("-ID AS ID", "NE_ID", "TECHNOLOGY")
+    path = _folder(s)
+    hashtree.save(hashtree.row_hashes(before.union(gone.where("ID < 0")), "ID"), path)
+    return hashtree.changes_since(s, path, now, "ID")
+
+
 @query
 def ag13_changes_since(s, d):
     return changes.changes_since(view(s, d, "alarms"), "2024-01-25")
