@@ -25,14 +25,15 @@ FEATURES = (
 # End of fixed values.
 
 
-def build_master_features(elements: DataFrame, links: DataFrame, pivots: int = 0, seed: int = 0) -> DataFrame:
-    """Every element with its static, graph, hierarchy and link features; elements without links have zeros."""
+def build_master_features(elements: DataFrame, links: DataFrame, pivots: int = 0, seed: int = 0, graph: DataFrame | None = None) -> DataFrame:
+    """Every element with its static, graph, hierarchy and link features; elements without links have zeros. ``graph``: the
+    graph features, where they are known already."""
     health = link_health(links)
     hierarchy = hierarchy_features(elements)
     hierarchy = hierarchy.drop(*[c for c in hierarchy.columns if c != "ID" and c in elements.columns])
     df = (
         static_features(elements)
-        .join(graph_features(elements, links, pivots, seed), "ID", "left")
+        .join(graph_features(elements, links, pivots, seed) if graph is None else graph, "ID", "left")
         .join(hierarchy, "ID", "left")
         .join(health, "ID", "left")
     )

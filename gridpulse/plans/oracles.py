@@ -152,7 +152,7 @@ _add("wn2_session_codes", AL, 'SELECT session_id, code, place, "first", "last" F
 _add("jn9_propagation_pairs", AL, "SELECT session_id, a, b, round(delay, 6) AS delay FROM pairs", _PAIRS)
 _add("ag6_propagation_rules", AL, """SELECT antecedent, consequent, count, round(support, 6) AS support, round(confidence, 6) AS confidence, round(m, 3) AS avg_delay_sec,
   round(s, 3) AS std_delay_sec, round(lo, 3) AS min_delay_sec, round(hi, 3) AS max_delay_sec, rank FROM rules""", _RULES)
-ORACLES["ag6_incremental_rules"] = ORACLES["ag6_propagation_rules"]
+ORACLES["ag6_incremental_rules"] = ORACLES["ml7_selective_retraining"] = ORACLES["ag6_propagation_rules"]
 _predict = "SELECT alarm_id, coalesce(n, 0) AS n, coalesce(c, '') AS consequents FROM alarms LEFT JOIN (SELECT antecedent, count(*) AS n, string_agg(consequent, ',' ORDER BY rank) AS c FROM rules WHERE {} GROUP BY ALL) ON antecedent = alarm_code"
 _add("jn7_predict_propagation", AL, _predict.format("rank <= 5"), _RULES)
 _add("jn8_predict_propagation_confident", AL, _predict.format("confidence >= 0.12"), _RULES)

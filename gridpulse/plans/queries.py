@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import elements as el
 from ..functions import labels as lb
-from ..operators import boosting, changes, convolution, evaluate, features, graph, hashtree, incidents, kpi, links, models, report, rules, rulestate, sequences, sessions, suffixtree
+from ..operators import boosting, changes, convolution, evaluate, features, graph, hashtree, incidents, kpi, links, models, report, retrain, rules, rulestate, sequences, sessions, store, suffixtree
 from ..operators.components import components
 from ..operators.shared import checkpoint_dir, cut
 from ..sources import loaders, schema, sinks
@@ -633,6 +633,20 @@ def ml7_incremental_run(s, d):
     return rule_rows.select(F.lit(",".join(first)).alias("first"), F.lit(",".join(second)).alias("second"), "rules")
 
 
+@query
+def ml7_selective_retraining(s, d):
+    """The rules in the store after two runs: one with the alarms of the first weeks, one with all of them."""
+    ne, t, a = _elements(s, d), view(s, d, "topology_links"), cut(_labelled(s, d))
+    kept = store.ModelStore(s, _folder(s))
+    columns = ["GRAPH_DEGREE", "COMPONENT_SIZE", "TOPO_LAYER", "LINK_HEALTH_SCORE", "VENDOR_ENC", "TECHNOLOGY_ENC"]
+    fit = lambda df: boosting.BoostedTrees(columns, rounds=2, depth=3).fit(df)
+    job = retrain.Retraining(kept, columns, fit, lambda path: boosting.BoostedTrees.load(s, path), GAP, 100, SUPPORT, CONFIDENCE)
+    job.run(ne, t, a.where("alarm_time < '2024-01-20'"))
+    job.run(ne, t, a)
+    delays = ("avg_delay_sec", "std_delay_sec", "min_delay_sec", "max_delay_sec")
+    return _rounded(s.read.parquet(kept.current("rules")["path"]).withColumns({c: F.round(c, 3) for c in delays}))
+
+
 # Streams
 
 
@@ -640,34 +654,38 @@ def ml7_incremental_run(s, d):
 def sm1_score_stream(s, d):
     """Every alarm with the features of its element, a cause by a model, and its expected consequents."""
     master, rows = _training(s, d)
-    score = streams.scorer(master, models.RootCauseModel(features.FEATURES, trees=40, depth=8).fit(rows.where("train")), cut(_rules(s, d)))
+    score = streams.scorer(master, models.RootCauseModel(features.FEATURES, trees=300, depth=8).fit(rows.where("train")), cut(_rules(s, d)))
     out, state = _folder(s), _folder(s)
     stream = streams.stream_alarms(s, _alarm_files(s, d), files=1)
-    writer = streams.score_stream(stream, lambda: score, lambda df, n: df.write.mode("append").parquet(out))
+    writer = streams.score_stream(stream, lambda: score, streams.batch_sink(out))
     writer.option("checkpointLocation", state).trigger(availableNow=True).start().awaitTermination()
     return s.read.parquet(out).select("alarm_id", "entity_id", "predicted_root_cause", F.round("confidence", 6).alias("confidence"), F.col("propagation_count").cast("long").alias("propagation_count"))
 
 
 @query
 def sm5_reload_rules(s, d):
-    """The version of the rules changes while the stream runs: from the second batch on only confident ones count."""
-    found = cut(_rules(s, d))
-    least = {"1": 0.0, "2": 0.12}
-    version = ["1"]
-    scoring = streams.Versioned(
-        lambda: version[0], lambda v: lambda batch: rules.predict_propagation(batch, found, None, least[v]).withColumn("version", F.lit(v))
-    )
+    """A second version of the rules is published while the stream runs: from the second batch on only confident ones count."""
+    found, kept = cut(_rules(s, d)), store.ModelStore(s, _folder(s))
+    kept.publish("rules", lambda path: found.write.parquet(path))
+
+    def load(version: str):
+        entry = kept.current("rules")
+        known = s.read.parquet(entry["path"])
+        return lambda batch: rules.predict_propagation(batch, known, None).withColumn("version", F.lit(str(entry["version"])))
+
     out, state = _folder(s), _folder(s)
+    sink = streams.batch_sink(out)
 
-    def sink(df: DataFrame, number: int) -> None:
-        df.write.mode("append").parquet(out)
-        version[0] = "2"
+    def then_publish(df: DataFrame, number: int) -> None:
+        sink(df, number)
+        if number == 0:
+            kept.publish("rules", lambda path: found.where("confidence >= 0.12").write.parquet(path))
 
     path = _folder(s)
     for half in ("alarm_time < '2024-01-15'", "alarm_time >= '2024-01-15'"):  # a batch each, in this order
         view(s, d, "alarms").where(half).coalesce(1).write.mode("append").parquet(path)
     stream = streams.stream_alarms(s, path, files=1)
-    writer = streams.score_stream(stream, scoring, sink).option("checkpointLocation", state)
+    writer = streams.score_stream(stream, streams.Versioned(kept.version, load), then_publish).option("checkpointLocation", state)
     writer.trigger(availableNow=True).start().awaitTermination()
     return s.read.parquet(out).select("alarm_id", F.col("propagation_count").cast("long").alias("n"), "version")
 
