@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -31,7 +33,15 @@ def kpi_window_features(kpi: DataFrame, threshold: float = 80.0, short: int = 36
         rolled(F.max(v), near).alias("high"),
         rolled(F.avg(v), far).alias("m_far"),
         F.when(F.count(v).over(last) >= 3, F.regr_slope(v, F.col("row")).over(last)).otherwise(0.0).alias("kpi_trend"),
-    ).withColumn("s", F.greatest(F.coalesce("s0", F.lit(1.0)), F.lit(0.001)))
+    )
+    return from_windows(df, threshold, [c for c in kpi.columns if c not in ("ne_id", "ts", "kpi_value")])
+
+
+def from_windows(df: DataFrame, threshold: float, others: Sequence[str] = ()) -> DataFrame:
+    """The features from what the windows of each measurement hold: m, s0, low and high (mean, deviation and extremes of the
+    short one; null with too few points), m_far (mean of the long one), kpi_trend."""
+    v = F.col("kpi_value")
+    df = df.withColumn("s", F.greatest(F.coalesce("s0", F.lit(1.0)), F.lit(0.001)))
     m, far_mean, hour = F.col("m"), F.col("m_far"), F.hour("ts")
     return df.select(
         "ne_id",
@@ -48,5 +58,5 @@ def kpi_window_features(kpi: DataFrame, threshold: float = 80.0, short: int = 36
         hour.alias("hour_of_day"),
         F.weekday("ts").alias("day_of_week"),
         hour.isin(*PEAK_HOURS).cast("int").alias("is_peak_hour"),
-        *[c for c in kpi.columns if c not in ("ne_id", "ts", "kpi_value")],
+        *others,
     )

@@ -246,3 +246,4 @@ _add("sm4_kpi_stream", KPI, f"""SELECT ne_id, make_timestamp(w) AS start, make_t
 w AS (SELECT *, unnest([epoch_us(ts) // 43200000000 * 43200000000, epoch_us(ts) // 43200000000 * 43200000000 - 43200000000]) AS w FROM kpi_history)""")
 _add("sm5_reload_rules", AL, """SELECT alarm_id, (SELECT count(*) FROM rules WHERE antecedent = alarm_code AND (alarm_time < TIMESTAMP '2024-01-15' OR confidence >= 0.12)) AS n,
   CASE WHEN alarm_time < TIMESTAMP '2024-01-15' THEN '1' ELSE '2' END AS version FROM alarms""", _RULES)
+ORACLES["sm4_kpi_features_stream"] = f"SELECT * EXCLUDE (is_anomaly) FROM ({ORACLES['wn3_kpi_window_features']}) WHERE epoch_us(ts) <= (SELECT epoch_us(max(CAST(ts AS TIMESTAMP))) - 600000000 FROM events)"

@@ -14,7 +14,7 @@ from ..operators import boosting, changes, convolution, evaluate, features, grap
 from ..operators.components import components
 from ..operators.shared import checkpoint_dir, cut
 from ..sources import loaders, schema, sinks
-from ..streaming import seeded, streams
+from ..streaming import kpifeatures, seeded, streams
 from .fixtures import view
 
 AS_OF = "2005-01-01"
@@ -695,24 +695,38 @@ def sm2_sessionize_stream(s, d):
     return _run(s, streams.sessionize_stream(streams.stream_alarms(s, _alarm_files(s, d)), "12 hours"))
 
 
-@query
-def sm3_correlate_stream(s, d):
-    """The seeded incidents of the alarms that the watermark has passed."""
+def _run_stateful(s: SparkSession, df: DataFrame) -> DataFrame:
+    """`_run` with the state store that keyed state needs."""
     name = "spark.sql.streaming.stateStore.providerClass"
     before = s.conf.get(name)
     s.conf.set(name, seeded.ROCKSDB)
     try:
-        found = _run(s, seeded.correlate_stream(streams.stream_alarms(s, _alarm_files(s, d)), _neighbours(s, d)))
+        return _run(s, df)
     finally:
         s.conf.set(name, before)
+
+
+@query
+def sm3_correlate_stream(s, d):
+    """The seeded incidents of the alarms that the watermark has passed."""
+    found = _run_stateful(s, seeded.correlate_stream(streams.stream_alarms(s, _alarm_files(s, d)), _neighbours(s, d)))
     return found.select("alarm_id", "entity_id", "alarm_time", "incident")
 
 
-def _kpi_stream(s: SparkSession, d: str) -> DataFrame:
+def _measurements(s: SparkSession, d: str) -> DataFrame:
     path = _folder(s)
     view(s, d, "kpi_history").write.parquet(path)
-    stream = s.readStream.schema("ne_id long, ts timestamp, kpi_value double, is_anomaly int").parquet(path)
-    return streams.kpi_stream(stream, "1 day", "12 hours")
+    return s.readStream.schema("ne_id long, ts timestamp, kpi_value double, is_anomaly int").parquet(path)
+
+
+def _kpi_stream(s: SparkSession, d: str) -> DataFrame:
+    return streams.kpi_stream(_measurements(s, d), "1 day", "12 hours")
+
+
+@query
+def sm4_kpi_features_stream(s, d):
+    """The features of wn3 for the measurements that the watermark has passed."""
+    return _rounded(_run_stateful(s, kpifeatures.kpi_feature_stream(_measurements(s, d), 80.0, 86_400, 7 * 86_400)))
 
 
 @query
