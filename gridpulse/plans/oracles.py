@@ -170,6 +170,9 @@ near AS (SELECT x.alarm_id AS a, y.alarm_id AS b FROM alarms x JOIN nb ON nb.ent
   AND abs(epoch_us(x.alarm_time) - epoch_us(y.alarm_time)) <= 1800000000 AND x.alarm_id <> y.alarm_id),
 closed AS (SELECT a AS root, a AS node FROM near UNION SELECT c.root, n.b FROM closed c JOIN near n ON n.a = c.node WHERE n.b > c.root)""", True)
 _add("ag7_summarise_incidents", AL + LIB, "SELECT incident, start_time, end_time, ne_ids, array_to_string(seq, ',') AS alarm_sequence, alarm_count, dominant_root_cause FROM summary JOIN modal ON session_id = incident", _SUMMARY)
+_add("ag7_sequence_parts", AL + LIB, "SELECT incident, part, min(alarm_time) AS start_time, max(alarm_time) AS end_time, string_agg(alarm_code, ',' ORDER BY rn) AS alarm_sequence FROM p GROUP BY ALL", _SUMMARY + """
+q AS (SELECT session_id AS incident, alarm_time, alarm_code, row_number() OVER (PARTITION BY session_id ORDER BY alarm_time, alarm_id) AS rn FROM sessions),
+p AS (SELECT *, ((rn - 1) // 4)::INT AS part FROM q)""")
 _add("ag9_incident_report", AL + LIB, """SELECT incident, min(open_time) AS "from", max(open_time) AS "to", count(*) AS alarm_count, round(avg(confidence), 6) AS avg_confidence, max(confidence) AS max_confidence, count(DISTINCT entity_id) AS entities,
   floor((epoch_us(max(open_time)) - epoch_us(min(open_time))) / 60000000)::BIGINT AS duration_minutes, any_value(rc) AS root_cause_distribution, any_value(sv) AS severity_distribution, any_value(p) AS primary_root_cause
   FROM scored JOIN rcs USING (incident) JOIN svs USING (incident) GROUP BY incident""", _SCORED + """

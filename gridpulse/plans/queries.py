@@ -403,6 +403,14 @@ def ag7_summarise_incidents(s, d):
     return _summaries(s, d).withColumns({"ne_ids": F.array_join("ne_ids", ","), "alarm_sequence": F.array_join("alarm_sequence", ",")})
 
 
+@query
+def ag7_sequence_parts(s, d):
+    """The codes of incidents in parts of four."""
+    a = sessions.sessionize(_labelled(s, d), GAP, ["entity_id"])
+    parts = incidents.sequence_parts(a.drop("session_id"), a.select("alarm_id", F.col("session_id").alias("incident")), 4)
+    return parts.withColumn("alarm_sequence", F.array_join("alarm_sequence", ","))
+
+
 @query
 def ag9_incident_report(s, d):
     text = lambda c: F.array_join(F.transform(F.map_entries(c), lambda e: F.concat_ws("=", e["key"], e["value"])), ",")

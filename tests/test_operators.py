@@ -131,6 +131,18 @@ def test_incidents_follow_the_rule(spark, mode, rule, seed):
     assert parts(got) == parts(rule(rows, near, 900))
 
 
+def test_sequences_in_parts_are_whole(spark):
+    rows = [(i, T0 + dt.timedelta(minutes=13 * (i * 37 % 50)), "abc"[i % 3] if i % 7 else None) for i in range(50)]
+    alarms = spark.createDataFrame([*rows, (None, T0, "x"), (90, None, "x")], "alarm_id long, alarm_time timestamp, alarm_code string")
+    of = spark.createDataFrame([(i, "big" if i < 45 else "small") for i in range(50)] + [(90, "big")], "alarm_id long, incident string")
+    got = {(r.incident, r.part): r for r in incidents.sequence_parts(alarms, of, 20).collect()}
+    assert sorted(got) == [("big", 0), ("big", 1), ("big", 2), ("small", 0)]
+    want = [c for i, t, c in sorted(rows, key=lambda r: (r[1], r[0])) if i < 45]
+    assert sum((list(got["big", k].alarm_sequence) for k in range(3)), []) == want and len(got["big", 2].alarm_sequence) == 5
+    assert got["big", 0].end_time <= got["big", 1].start_time
+    assert incidents.sequence_parts(alarms.limit(0), of).count() == 0
+
+
 def test_labels_keep_the_order_of_rules(spark):
     df = spark.createDataFrame([("bgpRetransmitNeighbor", None), ("snmpTrap", None), (None, "OUTAGE"), ("x", "outage"), ("lossRate", "DETERIORATION")], "i string, c string")
     got = [r[0] for r in df.select(library_root_cause(F.col("i"), F.col("c"))).collect()]
