@@ -128,6 +128,14 @@ _floats = ("SRC_MAX_UTILIZATION", "SRC_AVG_UTILIZATION", "SRC_MAX_ERROR_RATE", "
 _add("ag2_link_health", TL, f"SELECT ID, SRC_CRITICAL_LINKS, SRC_WARNING_LINKS, SRC_LINK_COUNT, {_rounds(*_floats)} FROM health", _HEALTH)
 _add("gr1_undirected_edges", TL, "SELECT a, b FROM edges", _EDGES)
 _add("gr2_graph_features", NE + TL, "SELECT * REPLACE (round(CLUSTERING_COEF, 6) AS CLUSTERING_COEF) FROM graph", _GRAPH, True)
+_add("gr3_group_betweenness", TL, """SELECT v AS node, round(coalesce(b, 0) / ((n - 1) * (n - 2)), 9) AS betweenness FROM nodes LEFT JOIN (
+  SELECT x.v, sum(x.c * y.c / z.c) AS b FROM sig x JOIN sig y ON y.s = x.v JOIN sig z ON z.s = x.s AND z.v = y.v AND z.k = x.k + y.k WHERE x.k > 0 AND y.k > 0 GROUP BY x.v) USING (v), (SELECT count(*) AS n FROM nodes)""", _EDGES + """
+pairs AS (SELECT DISTINCT least(a // 10, b // 10) AS a, greatest(a // 10, b // 10) AS b FROM edges WHERE a // 10 <> b // 10),
+e AS MATERIALIZED (SELECT a, b FROM pairs UNION SELECT b, a FROM pairs), nodes AS (SELECT DISTINCT a AS v FROM e),
+walks AS (SELECT v AS s, v, 0 AS k FROM nodes UNION SELECT s, e.b, k + 1 FROM walks JOIN e ON e.a = v WHERE k < 20),
+far AS MATERIALIZED (SELECT s, v, min(k) AS k FROM walks GROUP BY ALL),
+sig AS (SELECT v AS s, v, 0 AS k, 1::DOUBLE AS c FROM nodes
+  UNION ALL SELECT sig.s, e.b, sig.k + 1, sum(c) FROM sig JOIN e ON e.a = sig.v JOIN far ON far.s = sig.s AND far.v = e.b AND far.k = sig.k + 1 GROUP BY sig.s, e.b, sig.k)""", True)
 _add("gr4_clustering", TL, f"SELECT node, {_rounds('clustering')} FROM cluster", _EDGES + _CLUSTER)
 _add("gr5_components", TL, "SELECT node, component, component_size FROM comp JOIN sizes USING (component)", _EDGES + _COMPONENTS, True)
 _add("gr6_hierarchy_features", NE, f"SELECT ID, HIERARCHY_DEPTH, (PARENT_NE_ID_FK IS NULL)::INT AS IS_ROOT_NODE, {_COMPLETE} AS GEO_COMPLETENESS FROM network_elements JOIN depths USING (ID)", _DEPTH, True)

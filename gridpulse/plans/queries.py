@@ -265,6 +265,14 @@ def gr3_betweenness(s, d):
     return _rounded(graph.betweenness(_edges(s, d), k=500), 9)
 
 
+@query
+def gr3_group_betweenness(s, d):
+    """Betweenness, from all nodes, of the graph of parent groups: two are linked if any of their elements are."""
+    group = lambda c: F.floor(F.col(c) / 10)
+    pairs = _edges(s, d).select(F.least(group("a"), group("b")).alias("a"), F.greatest(group("a"), group("b")).alias("b")).where("a < b").distinct()
+    return _rounded(graph.betweenness(pairs, k=1_000_000), 9)
+
+
 @query
 def gr4_clustering(s, d):
     return _rounded(graph.clustering(_edges(s, d)))
