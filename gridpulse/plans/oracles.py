@@ -163,6 +163,8 @@ _add("ag6_propagation_rules", AL, """SELECT antecedent, consequent, count, round
 ORACLES["ag6_incremental_rules"] = ORACLES["ml7_selective_retraining"] = ORACLES["ag6_propagation_rules"]
 _predict = "SELECT alarm_id, coalesce(n, 0) AS n, coalesce(c, '') AS consequents FROM alarms LEFT JOIN (SELECT antecedent, count(*) AS n, string_agg(consequent, ',' ORDER BY rank) AS c FROM rules WHERE {} GROUP BY ALL) ON antecedent = alarm_code"
 _add("jn7_predict_propagation", AL, _predict.format("rank <= 5"), _RULES)
+_add("sc15_consequents_json", AL, """SELECT alarm_id, coalesce(to_json(c)::VARCHAR, '[]') AS propagation_alarms, coalesce(len(c), 0) AS propagation_count
+  FROM alarms LEFT JOIN (SELECT antecedent, list(consequent ORDER BY rank) AS c FROM rules WHERE rank <= 5 GROUP BY ALL) ON antecedent = alarm_code""", _RULES)
 _add("jn8_predict_propagation_confident", AL, _predict.format("confidence >= 0.12"), _RULES)
 _day = "(PARTITION BY ne_id ORDER BY us RANGE BETWEEN {} PRECEDING AND CURRENT ROW)"
 _near, _far, _last = _day.format(86_400_000_000 - 1), _day.format(7 * 86_400_000_000 - 1), "(PARTITION BY ne_id ORDER BY us ROWS BETWEEN 12 PRECEDING AND CURRENT ROW)"

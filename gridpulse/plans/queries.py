@@ -366,6 +366,14 @@ def jn7_predict_propagation(s, d):
     return _predicted(s, d, 5, 0.0)
 
 
+@query
+def sc15_consequents_json(s, d):
+    """The expected consequents of each alarm as a JSON array."""
+    df = rules.predict_propagation(view(s, d, "alarms"), _rules(s, d), 5)
+    names = F.transform(F.coalesce("propagation", F.array()), lambda x: x["consequent"])
+    return df.select("alarm_id", F.to_json(names).alias("propagation_alarms"), F.json_array_length(F.to_json(names)).cast("long").alias("propagation_count"))
+
+
 @query
 def jn8_predict_propagation_confident(s, d):
     return _predicted(s, d, None, 0.12)
