@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from ..functions import elements as el
 from ..functions import labels as lb
 from ..operators import boosting, changes, convolution, evaluate, features, graph, hashtree, incidents, kpi, links, models, report, retrain, rules, rulestate, sequences, sessions, store, suffixtree
-from ..operators.components import components
 from ..operators.shared import checkpoint_dir, cut
 from ..sources import loaders, schema, sinks
 from ..streaming import kpifeatures, seeded, streams

@@ -4,7 +4,6 @@ import datetime as dt
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from gridpulse.operators import kpi, models
 from gridpulse.streaming import kpifeatures, seeded, streams

@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from gridpulse.operators import boosting, features, retrain, store
+from gridpulse.operators import boosting, retrain, store
 
 T0 = dt.datetime(2024, 1, 1)
 COLUMNS = ["GRAPH_DEGREE", "COMPONENT_SIZE", "VENDOR_ENC", "LINK_HEALTH_SCORE"]
