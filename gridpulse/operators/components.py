@@ -12,12 +12,15 @@ def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
 
-#: Edges to a task, about. A graph that needs fewer tasks than Spark's shuffles have is dealt to so many.
-EDGES = 50_000
+#: Edges to a task, about. A graph of no more is kept in one partition, where rounds need no shuffle; one that needs fewer
+#: tasks than Spark's shuffles have is dealt to so many.
+EDGES = 200_000
 
 
 def _dealt(edges: DataFrame, key: str, n: int) -> DataFrame:
     tasks = -(-n // EDGES) or 1
+    if tasks == 1:
+        return edges.coalesce(1)
     few = tasks < int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return edges.repartition(tasks, key) if few else edges
 
@@ -25,7 +28,7 @@ def _dealt(edges: DataFrame, key: str, n: int) -> DataFrame:
 def _round(edges: DataFrame, n: int) -> DataFrame:
     """A large star (each node's larger neighbours go to its smallest neighbour or itself) and a small star (each
     node's smaller neighbours go to the smallest); both keep the components. n: about how many edges there are."""
-    both = _dealt(edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))), "a", 2 * n)
+    both = _dealt(edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))), "a", n)
     low = both.groupBy("a").agg(F.min("b").alias("m"))
     large = _dealt(both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.least("a", "m").alias("b")), "a", n)
     low = large.groupBy("a").agg(F.min("b").alias("m"))
