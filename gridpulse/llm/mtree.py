@@ -228,11 +228,14 @@ def _search(k: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
     return run
 
 
-def _meet(trees: DataFrame, queries: DataFrame, blocks: int, k: int) -> DataFrame:
-    """The searches of queries (with dim, cell, part of a tree) in their trees."""
-    keys = ("dim", "cell", "part", "block")
-    spread = trees.select("dim", "cell", "part", "tree", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
-    asked = queries.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int")).select(*keys, "row", "vec_id", "v", "floor")
+def _meet(trees: DataFrame, queries: DataFrame, blocks: DataFrame, k: int) -> DataFrame:
+    """The searches of queries (with dim, cell, part of a tree) in their trees. Blocks are of queries with one home cell,
+    which ask for much the same trees, and a tree goes to those blocks only that have a query for it."""
+    keys = ("dim", "cell", "part", "home", "block")
+    asked = queries.join(blocks, ["dim", "home"]).withColumn("block", F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int"))
+    asked = cut(asked.select(*keys, "row", "vec_id", "v", "floor"))
+    pairs = asked.select(*[F.col(c).alias(c) for c in keys]).distinct()
+    spread = trees.select(*[F.col(c).alias(c) for c in ("dim", "cell", "part", "tree")]).join(pairs, ["dim", "cell", "part"])
     return spread.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInArrow(_search(k), FOUND)
 
 
@@ -253,7 +256,7 @@ def _others(pivots: dict[int, np.ndarray], meta: dict[int, np.ndarray]) -> Calla
                 go &= (cell != batch.column("cell")[i].as_py()) | (trees[:, 1] != batch.column("part")[i].as_py())
                 n = int(go.sum())
                 if n:
-                    row = batch.slice(i, 1).select(["row", "vec_id", "v", "floor", "dim"])
+                    row = batch.slice(i, 1).select(["row", "vec_id", "v", "floor", "dim", "home"])
                     some = pa.Table.from_batches([row]).take(pa.array(np.zeros(n, np.int64)))
                     cells = pa.array(trees[go, 0].astype(np.int32)), pa.array(trees[go, 1].astype(np.int32))
                     some = some.append_column("cell", cells[0]).append_column("part", cells[1])
@@ -272,8 +275,9 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 10) -> DataFrame:
     n = rows.count()
     pivots = _pivots(rows, n)
     placed = cut(rows.mapInArrow(_placed(pivots), "vec_id long, v array<double>, row long, cell int, far double").withColumn("dim", F.size("v")))
-    asked = placed.where(queries)
-    blocks = -(-asked.count() // QUERIES) or 1
+    asked = placed.where(queries).withColumn("home", F.col("cell"))
+    # A row for each cell with a query.
+    blocks = F.broadcast(cut(asked.groupBy("dim", "home").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("blocks"))))
     parts = placed.groupBy("dim", "cell").agg(F.ceil(F.count("*") / TREE).cast("int").alias("parts"))
     part = F.pmod(F.xxhash64("row"), F.col("parts")).cast("int").alias("part")
     dealt = placed.join(F.broadcast(parts), ["dim", "cell"])  # a row for each pivot, and each other length
@@ -288,8 +292,8 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 10) -> DataFrame:
     floors = near.groupBy("row").agg(F.count("*").alias("n"), F.min("score").alias("least"))
     floors = floors.where(F.col("n") >= k).select("row", "least")
     rest = first.drop("floor").join(floors, "row", "left").withColumn("floor", F.coalesce("least", F.lit(LEAST)))
-    rest = rest.select("row", "vec_id", "v", "floor", "dim", "cell", "part").mapInArrow(
-        _others(pivots, {d: np.array(v, float) for d, v in meta.items()}), "row long, vec_id long, v array<double>, floor long, dim int, cell int, part int"
+    rest = rest.select("row", "vec_id", "v", "floor", "dim", "home", "cell", "part").mapInArrow(
+        _others(pivots, {d: np.array(v, float) for d, v in meta.items()}), "row long, vec_id long, v array<double>, floor long, dim int, home int, cell int, part int"
     )
     found = near.union(_meet(trees, rest, blocks, k))
     order = W.partitionBy("row").orderBy(F.desc("score"), "vec_id")

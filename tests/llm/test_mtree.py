@@ -92,3 +92,25 @@ def test_far_trees_are_not_walked(spark, monkeypatch):
     assert got == brute(rows, lambda i: i % 100 == 0, 5)
     (trees, queries), (_, later) = met
     assert queries == 24 and later < 0.5 * queries * (trees - 1)
+
+
+def test_trees_go_to_blocks_that_ask_for_them(spark, monkeypatch):
+    """On clustered vectors the copies of trees that are sent are the pairs of tree and block with a query."""
+    for name, n in (("TREE", 100), ("QUERIES", 8)):
+        monkeypatch.setattr(mtree, name, n)
+    sent = []
+    meet = mtree._meet
+
+    def counted(trees, asked, blocks, k):
+        pairs = asked.join(blocks, ["dim", "home"]).withColumn("block", F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int"))
+        sent.append((pairs.select("dim", "cell", "part", "home", "block").distinct().count(), trees.count(), pairs.select("home", "block").distinct().count()))
+        return meet(trees, asked, blocks, k)
+
+    monkeypatch.setattr(mtree, "_meet", counted)
+    rnd = np.random.default_rng(4)
+    rows = [(i, [float(x) for x in 3000 * np.eye(8)[i % 8] + rnd.integers(-20, 20, 8)]) for i in range(2400)]
+    df = spark.createDataFrame(rows, "vec_id long, v array<double>")
+    got = sorted(tuple(r) for r in mtree.top_k(df, F.col("vec_id") % 50 == 0, 5).collect())
+    assert got == brute(rows, lambda i: i % 50 == 0, 5)
+    (first, _, blocks), (later, trees, _) = sent
+    assert first <= blocks + 1 and later < 0.5 * trees * blocks
