@@ -169,8 +169,9 @@ def snk4_export_entity_features(s, d):
 def snk5_write_report(s, d):
     path = _folder(s)
     ne = view(s, d, "network_elements")
-    sinks.write_json(report.write_report(_scored(s, d), _rules(s, d), ne, ne, view(s, d, "topology_links"), 100), path)
-    found = s.read.json(path)
+    rows = report.write_report(_scored(s, d), _rules(s, d), ne, ne, view(s, d, "topology_links"), 100)
+    sinks.write_json(rows, path)
+    found = s.read.schema(rows.schema).json(path)  # JSON leaves out nulls, so a column may be in no row
     sizes = [F.coalesce(F.size(c), F.lit(0)).cast("long").alias(c) for c in ("alarms", "affected_elements", "at_risk", "propagation")]
     first, last = F.get("alarms", F.lit(0))["alarm_id"], F.element_at("alarms", -1)["alarm_id"]
     return found.select("number", "alarm_count", "primary_root_cause", *sizes, first.alias("first_alarm"), last.alias("last_alarm"))
