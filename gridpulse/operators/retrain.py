@@ -87,7 +87,11 @@ class Retraining:
         self._publish(report, "links", lambda path: hashtree.save(hashtree.row_hashes(named, "link"), path))
 
     def _classifier(self, report: Report, master: DataFrame, alarms: DataFrame) -> None:
-        rows = cut(stratified_split(training_set(alarms, master), "root_cause", "alarm_id"))
+        some = master.select("ID", "NE_ID", *[c for c in self.columns if c in master.columns and c not in ("ID", "NE_ID")])
+        own = ["alarm_id", "entity_id", "root_cause"]
+        rows = training_set(alarms.select(*own, *[c for c in self.columns if c in alarms.columns and c not in own]), some)
+        kept = [c for c in self.columns if c in rows.columns and c not in ("alarm_id", "root_cause")]
+        rows = cut(stratified_split(rows.select("alarm_id", "root_cause", *kept), "root_cause", "alarm_id"))
         train, held = rows.where("train"), rows.where("not train")
         if train.isEmpty() or held.isEmpty():
             return

@@ -65,3 +65,19 @@ def test_delta_runs(spark, tables, tmp_path):
     fitted[:] = fitted[:2]  # so that the next is the third
     fifth = delta.run(elements2.withColumn("VENDOR", F.lit("Z")), links2, alarms)
     assert fifth.refused == ["cause"] and fifth.changed == 120 and delta.store.current("cause") == before and before["facts"]["accuracy"] > 0.8
+
+
+def test_classifier_is_given_what_it_reads_only(spark, tables, tmp_path):
+    """Rows for training hold the id, the label and the features; an alarm's own column counts as a feature, absent ones don't."""
+    elements, _, alarms = tables
+    seen = []
+
+    def fit(df):
+        seen.append((sorted(df.columns), df.count()))
+        return boosting.BoostedTrees(["HOUR", "DEGREE"], rounds=1, depth=2).fit(df)
+
+    columns = ["DEGREE", "HOUR", "NO_SUCH"]
+    job = retrain.Retraining(store.ModelStore(spark, f"{tmp_path}/narrow"), columns, fit, lambda path: boosting.BoostedTrees.load(spark, path))
+    report = retrain.Report()
+    job._classifier(report, elements.withColumn("DEGREE", F.col("ID") % 7), alarms.withColumn("HOUR", F.hour("alarm_time")))
+    assert report.published == ["cause"] and seen[0][0] == ["DEGREE", "HOUR", "alarm_id", "root_cause", "train"] and 600 < seen[0][1] < 900
