@@ -86,3 +86,21 @@ def test_odd_rows_and_empty_tables(spark, odd, none):
     assert S.dedup(none).count() == 0 and S.digests(none).count() == 0
     clash = odd.withColumnRenamed("size", "h").withColumnRenamed("ids", "kept").withColumnRenamed("fp", "bytes").withColumnRenamed("shard", "n_spans")
     assert S.digests(clash).count() == odd.count()
+
+
+def test_planted_passages_of_over_50_words(spark):
+    """A passage in two documents is found if it has 400 bytes; one of as many words with fewer bytes isn't one for the
+    contract. n_bytes is the length of the whole text, whatever is removed."""
+    rnd = random.Random(8)
+    word = lambda n: "".join(rnd.choice("abcdefghijklmnop") for _ in range(n))
+    prose = lambda words, n: " ".join(word(n) for _ in range(words))
+    clean = [prose(150, 6) for _ in range(40)]
+    long, short = [prose(60, 7) for _ in range(20)], [prose(55, 5) for _ in range(20)]
+    assert min(map(len, long)) >= 400 and max(map(len, short)) < 398
+    planted = [f"{prose(40, 6)} {p} {prose(40, 6)}" for p in long + short for _ in range(2)]
+    texts = clean + planted
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    got = {r.doc_id: r for r in S.digests(df, 400).collect()}
+    assert [got[i].n_bytes for i in range(len(texts))] == [len(t) for t in texts]
+    assert {i for i in got if got[i].n_removed} == set(range(40, 80))
+    assert all(len(long[(i - 40) // 2]) <= got[i].n_removed <= len(long[(i - 40) // 2]) + 4 for i in range(40, 80))
