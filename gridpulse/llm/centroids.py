@@ -27,15 +27,15 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import RDD, TaskContext
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from .common import cut, ship
 from .mtree import GREATEST, quantised
 
-#: Vectors of a block.
-BLOCK = 4096
+#: Vectors of a block. A task that pairs blocks with their heaps holds a hundred at a time.
+BLOCK = 1024
 
 
 def kept(embedding: Column, scale: int, dim: int) -> Column:
@@ -126,13 +126,26 @@ class Heaps:
         return n, sums, len(rows)
 
 
-def _round(k: int, centroids: list[list[int]], drift: list[float]):
+def _paired(blocks: DataFrame, states: DataFrame) -> RDD:
+    """The rows of two written tables with as many rows in each partition, side by side. The rows of a table come to Python
+    in batches that their bytes decide, which `RDD.zip` would compare; mapped ones are batched alike on both sides."""
+    return blocks.rdd.map(lambda r: r).zip(states.rdd.map(lambda r: r))
+
+
+def _round(k: int, dim: int, centroids: list[list[int]], drift: list[float]):
+    """The heaps of each block, with the last one what all blocks of the partition have gained."""
+
     def run(pairs: Iterator) -> Iterator[Row]:
+        last, total = None, _nothing(k, dim)
         for block, state in pairs:
+            if last is not None:
+                yield Row(heaps=last, gained=None)
             x = pickle.loads(block.x)
             heaps = pickle.loads(state.heaps) if state else Heaps(len(x), k)
-            gained = heaps.scan(x, centroids, drift)
-            yield Row(heaps=bytearray(pickle.dumps(heaps)), gained=bytearray(pickle.dumps(gained)))
+            total = _added(total, heaps.scan(x, centroids, drift))
+            last = bytearray(pickle.dumps(heaps))
+        if last is not None:
+            yield Row(heaps=last, gained=bytearray(pickle.dumps(total)))
 
     return run
 
@@ -151,6 +164,10 @@ def _placed(centroids: list[list[int]]):
     return run
 
 
+def _nothing(k: int, dim: int) -> tuple:
+    return np.zeros(k, np.int64), np.zeros((k, dim), object), 0
+
+
 def _added(a: tuple, b: tuple) -> tuple:
     return a[0] + b[0], a[1] + b[1], a[2] + b[2]
 
@@ -191,16 +208,16 @@ def cluster(vectors: DataFrame, k: int = 40, rounds: int = 5, seed: int = 2) ->
     centroids = first_centroids(vectors, k, seed)
     if not centroids:
         return Clustering(spark.createDataFrame([], "vec_id long, cluster int, distance long"), [])
-    blocks = cut(vectors.mapInArrow(_pack, "block long, ids array<long>, x binary")).rdd
+    blocks = cut(vectors.mapInArrow(_pack, "block long, ids array<long>, x binary"))
     k, dim = len(centroids), len(centroids[0])
     n, sums, drift, scanned = [0] * k, [[0] * dim for _ in range(k)], [0.0] * k, []
     states = None
     for number in range(rounds + 1):
-        pairs = blocks.zip(states) if states is not None else blocks.map(lambda b: (b, None))
-        table = cut(spark.createDataFrame(pairs.mapPartitions(_round(k, centroids, drift)), "heaps binary, gained binary", verifySchema=False))
-        states = table.select("heaps").rdd
-        zero = np.zeros(k, np.int64), np.zeros((k, dim), object), 0
-        gained = table.select("gained").rdd.map(lambda r: pickle.loads(r.gained)).treeAggregate(zero, _added, _added)
+        x = blocks.select("x")
+        pairs = _paired(x, states) if states is not None else x.rdd.map(lambda b: (b, None))
+        table = cut(spark.createDataFrame(pairs.mapPartitions(_round(k, dim, centroids, drift)), "heaps binary, gained binary", verifySchema=False))
+        states = table.select("heaps")
+        gained = table.where("gained IS NOT NULL").select("gained").rdd.map(lambda r: pickle.loads(r.gained)).treeAggregate(_nothing(k, dim), _added, _added)
         scanned.append(gained[2])
         n = [a + int(b) for a, b in zip(n, gained[0])]
         sums = [[a + int(b) for a, b in zip(x, y)] for x, y in zip(sums, gained[1])]
@@ -208,7 +225,7 @@ def cluster(vectors: DataFrame, k: int = 40, rounds: int = 5, seed: int = 2) ->
             moved = [[s // n[c] for s in sums[c]] if n[c] else centroids[c] for c in range(k)]
             drift = _drifted(centroids, moved, drift)
             centroids = moved
-    placed = spark.createDataFrame(blocks.zip(states).mapPartitions(_placed(centroids)), "ids array<long>, cluster array<int>, distance array<long>", verifySchema=False)
+    placed = spark.createDataFrame(_paired(blocks.select("ids", "x"), states).mapPartitions(_placed(centroids)), "ids array<long>, cluster array<int>, distance array<long>", verifySchema=False)
     rows = placed.select(F.explode(F.arrays_zip("ids", "cluster", "distance")).alias("r")).select(F.col("r.ids").alias("vec_id"), "r.cluster", "r.distance")
     return Clustering(cut(rows), centroids, scanned)
 

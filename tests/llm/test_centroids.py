@@ -77,3 +77,15 @@ def test_large_whole_numbers_are_exact(spark):
     rows += [(100, [2.0**60, 1.0, 0.0]), (101, [-(2.0**70), 5.0, 0.0])]
     want, cents = brute(rows, 5, 3)
     assert got(C.cluster(spark.createDataFrame(rows, "vec_id long, v array<double>"), 5, 3)) == ([(i, n, min(d, 2**63 - 1)) for i, n, d in want], cents)
+
+
+def test_many_blocks_in_one_partition(spark, monkeypatch):
+    """Blocks are many times larger than their heaps, so that batches of as many bytes hold fewer of them."""
+    monkeypatch.setattr(C, "BLOCK", 1000)
+    rnd = np.random.default_rng(7)
+    base = rnd.integers(-900, 900, (12, 600)).astype(float)
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(base)], "kind int, v array<double>")
+    df = spark.range(0, 12_000, 1, 1).join(F.broadcast(rows), F.col("id") % 12 == F.col("kind")).select(F.col("id").alias("vec_id"), "v")
+    found = C.cluster(df, 12, 1)
+    assert found.rows.count() == 12_000 and found.rows.select("vec_id").distinct().count() == 12_000
+    assert found.scanned[0] == 12_000
